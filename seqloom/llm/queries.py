@@ -1,11 +1,13 @@
 """Queries of the operators in this part, and their SQL where SQL can express them."""
 
-from . import canonical, components
+from . import canonical, components, tokens
 
 LLM = {
     "p3_found": components.p3_found,
     "p3_sizes": components.p3_sizes,
     "p4_found": canonical.p4_found,
     "p4_counts": canonical.p4_counts,
+    "p7_ids": tokens.p7_ids,
+    "p7_decoded": tokens.p7_decoded,
 }
-LLM_SQL = {**components.SQL, **canonical.SQL}
+LLM_SQL = {**components.SQL, **canonical.SQL, **tokens.SQL}
