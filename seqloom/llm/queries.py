@@ -1,8 +1,11 @@
 """Queries of the operators in this part, and their SQL where SQL can express them."""
 
-from . import canonical, components, tokens
+from . import canonical, components, spans, tokens
 
 LLM = {
+    "p2_found": spans.p2_found,
+    "p2_shares": spans.p2_shares,
+    "p2_passages": spans.p2_passages,
     "p3_found": components.p3_found,
     "p3_sizes": components.p3_sizes,
     "p4_found": canonical.p4_found,
@@ -10,4 +13,4 @@ LLM = {
     "p7_ids": tokens.p7_ids,
     "p7_decoded": tokens.p7_decoded,
 }
-LLM_SQL = {**components.SQL, **canonical.SQL, **tokens.SQL}
+LLM_SQL = {**spans.SQL, **components.SQL, **canonical.SQL, **tokens.SQL}

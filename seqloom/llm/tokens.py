@@ -177,7 +177,7 @@ def p7_ids(spark, folder: str) -> DataFrame:
 
 def p7_decoded(spark, folder: str) -> DataFrame:
     """(doc_id, text) decoded from the ids; equals the text of every document, with '' for null."""
-    return decode_documents(p7_ids(spark, folder)).select("doc_id", F.decode("content", F.lit("UTF-8")).alias("text"))
+    return decode_documents(p7_ids(spark, folder)).select("doc_id", F.decode("content", "UTF-8").alias("text"))
 
 
 SQL = {"p7_decoded": "SELECT doc_id, coalesce(any_value(text), '') AS text FROM documents GROUP BY doc_id"}
