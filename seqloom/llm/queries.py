@@ -1,6 +1,6 @@
 """Queries of the operators in this part, and their SQL where SQL can express them."""
 
-from . import canonical, components, spans, tokens
+from . import canonical, components, langid, spans, tokens
 
 LLM = {
     "p2_found": spans.p2_found,
@@ -12,5 +12,7 @@ LLM = {
     "p4_counts": canonical.p4_counts,
     "p7_ids": tokens.p7_ids,
     "p7_decoded": tokens.p7_decoded,
+    "p9_found": langid.p9_found,
+    "p9_passages": langid.p9_passages,
 }
 LLM_SQL = {**spans.SQL, **components.SQL, **canonical.SQL, **tokens.SQL}
