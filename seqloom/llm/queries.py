@@ -1,6 +1,6 @@
 """Queries of the operators in this part, and their SQL where SQL can express them."""
 
-from . import canonical, components, langid, spans, tokens
+from . import canonical, components, langid, packing, spans, tokens
 
 LLM = {
     "p2_found": spans.p2_found,
@@ -12,6 +12,8 @@ LLM = {
     "p4_counts": canonical.p4_counts,
     "p7_ids": tokens.p7_ids,
     "p7_decoded": tokens.p7_decoded,
+    "p8_packed": packing.p8_packed,
+    "p8_fill": packing.p8_fill,
     "p9_found": langid.p9_found,
     "p9_passages": langid.p9_passages,
 }
