@@ -20,20 +20,30 @@ from ..session import written
 SWEEP = [(1.0, 1.0), (1.0, 3.0), (1.0, 10.0), (2.0, 3.0), (2.0, 10.0), (2.0, 30.0)]
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): smallest node reachable over edges (a, b)."""
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).filter("a is not null and b is not null").distinct().toDF("src", "dst"), "edges")
-    labels = both.select(F.col("src").alias("node")).distinct().withColumn("component", F.col("node"))
+def minimum_labels(links: DataFrame) -> DataFrame:
+    """(v, label): the smallest vertex of each component of links (a, b), by propagation of minima.
+
+    In a round every vertex, and the vertex its label names, takes the smallest label of a label among its neighbours,
+    and every vertex takes its label's label. The reach of a label doubles, so long chains take few rounds.
+    """
+    both = written(links.select("a", "b").union(links.select("b", "a")).filter("a is not null and b is not null and a <> b").distinct().toDF("src", "dst"), "adjacent")
+    labels = written(both.groupBy(F.col("src").alias("v")).agg(F.least(F.col("v"), F.min("dst")).alias("label")), "labels")
     while True:
-        near = both.join(labels.toDF("dst", "seen"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("seen").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component"))
-        onward = labels.toDF("component", "next")
-        after = written(step.join(onward, "component", "left").select("node", "was", F.least("component", F.coalesce("next", "component")).alias("component")), "labels")
-        labels = after.select("node", "component")
-        if after.filter("component < was").limit(1).isEmpty():
+        onward = labels.join(labels.toDF("label", "far"), "label").select("v", "label", "far")
+        near = both.join(onward.select(F.col("v").alias("dst"), "far"), "dst").groupBy(F.col("src").alias("v")).agg(F.min("far").alias("near"))
+        seen = onward.join(near, "v")
+        offers = seen.select(F.explode(F.array(F.struct("v", F.least("far", "near").alias("to"), F.col("label").alias("was")), F.struct(F.col("label").alias("v"), F.least("far", "near").alias("to"), F.lit(None).cast(labels.schema["label"].dataType).alias("was")))).alias("o")).select("o.*")
+        after = written(offers.groupBy("v").agg(F.min("to").alias("label"), F.min("was").alias("was")), "labels")
+        labels = after.select("v", "label")
+        if after.filter("label < was").limit(1).isEmpty():
             return labels
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): smallest node reachable over edges (a, b)."""
+    return minimum_labels(edges).toDF("node", "component")
+
+
 def _canonical(edges: DataFrame) -> DataFrame:
     kept = edges.filter("a is not null and b is not null and a <> b and weight > 0")
     return kept.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("weight").alias("weight"))
