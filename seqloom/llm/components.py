@@ -1,8 +1,8 @@
 """Consolidation of pairwise matches into groups: connected components over very many pairs.
 
 The giant component is peeled by breadth-first joins of a frontier from the vertex of highest degree and taken away
-by an anti-join; the small components that remain are labelled by minimum propagation, with a step that follows a
-label's own label so that chains take logarithmically many rounds. Vertices are numbered in byte order of their
+by an anti-join; the small components that remain are labelled by minimum propagation, which also hooks labels to each other so
+that chains take logarithmically many rounds. Vertices are numbered in byte order of their
 names, so links, frontiers and labels are pairs of integers and the smallest number names the group.
 
 Defined results: null ends, self links and NaN scores are no links; links given twice or in either order are one;
@@ -11,9 +11,12 @@ no links give no rows; every linked vertex gets exactly one row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import minimum_labels
 from ..session import table, written
 
 #: Rounds of the frontier. What a longer giant component has beyond them is labelled with the rest, the peeled part
@@ -37,30 +40,18 @@ def peel_giant(links: DataFrame, rounds: int = FRONTIER_ROUNDS) -> tuple[DataFra
     if not start:
         return None, True
     frontier = links.sparkSession.createDataFrame([(start[0]["v"],)], "v bigint")
-    seen = frontier
+    seen, before = [frontier], frontier
+    whole = False
     for _ in range(rounds):
         reached = both.join(frontier.withColumnRenamed("v", "src"), "src", "left_semi").select(F.col("dst").alias("v")).distinct()
-        frontier = written(reached.join(seen, "v", "left_anti"), "frontier")
-        if frontier.isEmpty():
-            return seen, True
-        seen = seen.unionByName(frontier)
-    return seen, False
-
-
-def propagate_minimum(links: DataFrame) -> DataFrame:
-    """(v, label): the smallest vertex of each component of links (a, b)."""
-    both = written(_both_ways(links).distinct(), "adjacent")
-    labels = written(both.groupBy(F.col("src").alias("v")).agg(F.least(F.col("v"), F.min("dst")).alias("label")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("v").alias("dst"), F.col("label").alias("seen")), "dst").groupBy(F.col("src").alias("v")).agg(F.min("seen").alias("near"))
-        lower = labels.join(near, "v").select("v", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        # a label's own label is at most as large and in the same component; labels may name a vertex far ahead
-        own = labels.select(F.col("v").alias("label"), F.col("label").alias("onward"))
-        after = written(lower.join(own, "label", "left").select("v", "was", F.least("label", F.coalesce("onward", "label")).alias("label")), "labels")
-        moved = not after.filter("label < was").limit(1).isEmpty()
-        labels = after.select("v", "label")
-        if not moved:
-            return labels
+        # neighbours of a frontier lie in it, in the one before or in the next
+        following = written(reached.join(frontier, "v", "left_anti").join(before, "v", "left_anti"), "frontier")
+        if following.isEmpty():
+            whole = True
+            break
+        frontier, before = following, frontier
+        seen.append(following)
+    return written(reduce(DataFrame.unionByName, seen), "giant"), whole
 
 
 def connected_components(links: DataFrame, rounds: int = FRONTIER_ROUNDS) -> DataFrame:
@@ -81,7 +72,7 @@ def connected_components(links: DataFrame, rounds: int = FRONTIER_ROUNDS) -> Dat
         inside = giant.withColumn("in", F.lit(True))
         rest = ids.join(inside.toDF("a", "in_a"), "a", "left").join(inside.toDF("b", "in_b"), "b", "left")
         rest = rest.select(F.when(F.col("in_a"), root).otherwise(F.col("a")).alias("a"), F.when(F.col("in_b"), root).otherwise(F.col("b")).alias("b")).filter("a <> b").distinct()
-    labels = propagate_minimum(rest)
+    labels = minimum_labels(rest)
     if not whole:  # the part of the giant beyond the frontier's rounds
         top = labels.filter(F.col("v") == root).collect()
         final = top[0]["label"] if top else root
