@@ -25,60 +25,91 @@ MATCH, MISMATCH, GAP = 2, -3, -4
 _COMPLEMENT = bytes.maketrans(b"ACGTN", b"TGCAN")
 
 
-def banded(q: np.ndarray, r: np.ndarray) -> list[tuple[int, int]]:
-    """Aligned position pairs of all of q within r, whose ends are free; ties go to the diagonal, then to q, and to the leftmost end."""
-    n, m = len(q), len(r)
-    steps = np.arange(m + 1) * GAP
-    row, moves = np.zeros(m + 1, np.int64), np.zeros((n + 1, m + 1), np.uint8)
-    moves[1:, 0] = 1
-    for i in range(1, n + 1):
-        best = np.empty(m + 1, np.int64)
-        best[0] = i * GAP
-        diagonal = row[:-1] + (np.where(r == q[i - 1], MATCH, MISMATCH) if q[i - 1] != 78 else MISMATCH)
-        up = row[1:] + GAP
-        best[1:] = np.maximum(diagonal, up)
-        row = np.maximum.accumulate(best - steps) + steps
-        moves[i, 1:] = np.where(row[1:] == diagonal, 0, np.where(row[1:] == up, 1, 2))
-    i, j = n, int(row.argmax())
-    pairs = []
-    while i:
-        move = moves[i, j]
-        if move == 0:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-        elif move == 1:
-            i -= 1
+def banded(windows: list[tuple[np.ndarray, np.ndarray]], at_once: int = 48) -> list[np.ndarray]:
+    """Aligned position pairs of all of q within r for each window (q, r), the ends of r free.
+
+    Ties go to the diagonal, then to a gap in r, and to the leftmost end. Windows of similar size are worked off
+    together, a row of all of them at a time; a window that stands unchanged in r needs no table.
+    """
+    out: list[np.ndarray] = [np.zeros((0, 2), np.int64)] * len(windows)
+    left = []
+    for i, (q, r) in enumerate(windows):
+        place = -1 if (q == 78).any() else r.tobytes().find(q.tobytes())
+        if place >= 0:
+            out[i] = np.stack((np.arange(len(q)), np.arange(len(q)) + place), axis=1)
         else:
-            j -= 1
-    return pairs[::-1]
-
-
-def estimate_pair(query: list[bytes], ref: list[bytes], spans: list[dict], k: int, window: int, band: int, min_window: int, min_identity: float) -> tuple[float, float, float, int, int]:
-    """(ani, af_ref, af_query, aligned, matches) of two entities' sequences, given the voted spans (qi, ri, d, rev, n, low, high)."""
-    sides = {False: [np.frombuffer(s, np.uint8) for s in query], True: [np.frombuffer(s.translate(_COMPLEMENT)[::-1], np.uint8) for s in query]}
-    refs = [np.frombuffer(s, np.uint8) for s in ref]
-    found = []
-    for v in spans:
-        q, r = sides[v["rev"]][v["qi"]], refs[v["ri"]]
-        low, high = max(0, -v["d"], v["low"] - band), min(len(q), len(r) - v["d"], v["high"] + k + band)
-        for a in range(low, high, window):
-            b = min(high, a + window)
-            at = max(0, a + v["d"] - band)
-            part = r[at : min(len(r), b + v["d"] + band)]
-            if not len(part):
-                continue
-            pairs = np.array(banded(q[a:b], part), np.int64).reshape(-1, 2) + (a, at)
-            good = (q[pairs[:, 0]] != 78) & (r[pairs[:, 1]] != 78)
-            pairs = pairs[good]
-            equal = q[pairs[:, 0]] == r[pairs[:, 1]]
-            if len(pairs) >= min_window and 100.0 * equal.sum() / len(pairs) >= min_identity:
-                places = len(q) - 1 - pairs[:, 0] if v["rev"] else pairs[:, 0]
-                found.append((-100.0 * equal.sum() / len(pairs), -len(pairs), -v["n"], v["qi"], v["ri"], v["rev"], a, v["d"], places, pairs[:, 1], equal))
-    found.sort(key=lambda c: c[:8])
+            left.append(i)
+    left.sort(key=lambda i: (len(windows[i][0]), len(windows[i][1])))
+    for at in range(0, len(left), at_once):
+        group = left[at : at + at_once]
+        n, m = max(len(windows[i][0]) for i in group), max(len(windows[i][1]) for i in group)
+        q, r = np.zeros((len(group), n), np.uint8), np.full((len(group), m), 1, np.uint8)
+        for g, i in enumerate(group):
+            q[g, : len(windows[i][0])], r[g, : len(windows[i][1])] = windows[i]
+        q[q == 78] = 0  # an unknown letter equals none
+        steps = (np.arange(m + 1) * GAP).astype(np.int32)
+        row, moves = np.zeros((len(group), m + 1), np.int32), np.zeros((n + 1, len(group), m + 1), np.uint8)
+        moves[1:, :, 0] = 1
+        ends = np.zeros(len(group), np.int64)
+        for k in range(1, n + 1):
+            diagonal = row[:, :-1] + np.where(r == q[:, k - 1 : k], np.int32(MATCH), np.int32(MISMATCH))
+            up = row[:, 1:] + np.int32(GAP)
+            best = np.concatenate((np.full((len(group), 1), k * GAP, np.int32), np.maximum(diagonal, up)), axis=1)
+            row = np.maximum.accumulate(best - steps, axis=1) + steps
+            moves[k, :, 1:] = np.where(row[:, 1:] == diagonal, 0, np.where(row[:, 1:] == up, 1, 2))
+            for g, i in enumerate(group):
+                if len(windows[i][0]) == k:
+                    ends[g] = row[g, : len(windows[i][1]) + 1].argmax()
+        for g, i in enumerate(group):
+            x, y, trace = len(windows[i][0]), int(ends[g]), moves[:, g]
+            pairs = []
+            while x:
+                move = trace[x, y]
+                if move == 0:
+                    x, y = x - 1, y - 1
+                    pairs.append((x, y))
+                elif move == 1:
+                    x -= 1
+                else:
+                    y -= 1
+            out[i] = np.array(pairs[::-1], np.int64).reshape(-1, 2)
+    return out
+
+
+def estimate_pairs(pairs: list[tuple[list[bytes], list[bytes], list[dict]]], k: int, window: int, band: int, min_window: int, min_identity: float) -> list[tuple[float, float, float, int, int]]:
+    """(ani, af_ref, af_query, aligned, matches) of each pair (query's sequences, ref's sequences, voted spans (qi, ri, d, rev, n, low, high))."""
+    windows, places, held = [], [], []
+    for p, (query, ref, spans) in enumerate(pairs):
+        sides = {rev: [np.frombuffer(s.translate(_COMPLEMENT)[::-1] if rev else s, np.uint8) for s in query] for rev in (False, True)}
+        refs = [np.frombuffer(s, np.uint8) for s in ref]
+        held.append((sides, refs))
+        for v in spans:
+            q, r = sides[v["rev"]][v["qi"]], refs[v["ri"]]
+            low, high = max(0, -v["d"], v["low"] - band), min(len(q), len(r) - v["d"], v["high"] + k + band)
+            for a in range(low, high, window):
+                b = min(high, a + window)
+                at = max(0, a + v["d"] - band)
+                part = r[at : min(len(r), b + v["d"] + band)]
+                if len(part):
+                    windows.append((q[a:b], part))
+                    places.append((p, v, a, at))
+    found: list[list] = [[] for _ in pairs]
+    for (p, v, a, at), aligned in zip(places, banded(windows)):
+        q, r = held[p][0][v["rev"]][v["qi"]], held[p][1][v["ri"]]
+        both = aligned + (a, at)
+        both = both[(q[both[:, 0]] != 78) & (r[both[:, 1]] != 78)]
+        equal = q[both[:, 0]] == r[both[:, 1]]
+        if len(both) >= min_window and 100.0 * equal.sum() / len(both) >= min_identity:
+            x = len(q) - 1 - both[:, 0] if v["rev"] else both[:, 0]
+            found[p].append((-100.0 * equal.sum() / len(both), -len(both), -v["n"], v["qi"], v["ri"], v["rev"], a, v["d"], x, both[:, 1], equal))
+    return [_claimed(query, ref, sorted(c, key=lambda c: c[:8]), min_window) for (query, ref, _), c in zip(pairs, found)]
+
+
+def _claimed(query: list[bytes], ref: list[bytes], windows: list[tuple], min_window: int) -> tuple[float, float, float, int, int]:
+    """The estimate after better windows have claimed their positions first."""
     took_q, took_r = [np.zeros(len(s), bool) for s in query], [np.zeros(len(s), bool) for s in ref]
     aligned = matches = 0
-    for c in found:
-        qi, ri, x, y, equal = c[3], c[4], c[8], c[9], c[10]
+    for _, _, _, qi, ri, _, _, _, x, y, equal in windows:
         fresh = ~took_q[qi][x] & ~took_r[ri][y]
         n = int(fresh.sum())
         if n < min_window // 2 or 2 * n < len(x):
@@ -88,8 +119,7 @@ def estimate_pair(query: list[bytes], ref: list[bytes], spans: list[dict], k: in
         aligned += n
         matches += int(equal[fresh].sum())
     callable_ = [sum(len(s) - s.count(b"N") for s in side) for side in (ref, query)]
-    fraction = [100.0 * aligned / c if c else 0.0 for c in callable_]
-    return (100.0 * matches / aligned if aligned else 0.0, *fraction, aligned, matches)
+    return (100.0 * matches / aligned if aligned else 0.0, *(100.0 * aligned / c if c else 0.0 for c in callable_), aligned, matches)
 
 
 def seed_spans(pairs: DataFrame, sequences: DataFrame, k: int, max_occ: int, min_seed_hits: int) -> DataFrame:
@@ -119,11 +149,12 @@ def pair_estimates(pairs: DataFrame, records: DataFrame, k: int = 15, window: in
     held = known.join(genomes.select(F.col("entity").alias("a"), F.col("g.seq").alias("ref")), "a").join(genomes.select(F.col("entity").alias("b"), F.col("g.seq").alias("query")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, spans_, ref, query = batch.columns
-            out = [estimate_pair([s.encode() for s in q], [s.encode() for s in r], v or [], k, window, band, min_window, min_identity) for v, r, q in zip(spans_.to_pylist(), ref.to_pylist(), query.to_pylist())]
-            columns = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([a, b, *(pa.array(c, pa.float64()) for c in columns[:3]), *(pa.array(c, pa.int64()) for c in columns[3:])], names=["ref", "query", "ani", "af_ref", "af_query", "aligned", "matches"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                a, b, spans_, ref, query = whole.slice(at, 64).columns
+                out = estimate_pairs([([s.encode() for s in q], [s.encode() for s in r], v or []) for v, r, q in zip(spans_.to_pylist(), ref.to_pylist(), query.to_pylist())], k, window, band, min_window, min_identity)
+                columns = list(zip(*out)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([a, b, *(pa.array(c, pa.float64()) for c in columns[:3]), *(pa.array(c, pa.int64()) for c in columns[3:])], names=["ref", "query", "ani", "af_ref", "af_query", "aligned", "matches"])
 
     scored = held.select("a", "b", "spans", "ref", "query").mapInArrow(run, f"ref {kind}, query {kind}, ani double, af_ref double, af_query double, aligned bigint, matches bigint")
     return scored.filter(F.greatest("af_ref", "af_query") + 1e-12 >= min_af)

@@ -47,6 +47,7 @@ def similar_classes(sketches: DataFrame, at_least: float = 0.8) -> tuple[DataFra
     size - ceil(at_least * size) + 1. Only these are joined, so a frequent hash makes no pairs unless a set has nothing
     rarer; the candidates are then counted on the whole sets. Entities without hashes are in no class.
     """
+    sketches = written(sketches.select("entity", "hash"), "sketches")
     classes = written(sketch_classes(sketches), "classes")
     reps = classes.filter("entity = class_id").select("entity", "size")
     rows = sketches.join(reps, "entity")

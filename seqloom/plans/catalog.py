@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import seqfuncs as fn
 from ..operators import align, audit, evidence, graph, kmers, search, triangle
-from ..session import table
+from ..session import table, written
 from ..sources import fasta, tables
 
 BITS, SKETCH_K = 256, 11
@@ -84,7 +84,7 @@ def index_info(spark, d):
 
 
 def index_search(spark, d):
-    sketches = kmers.scaled_sketch(_by_contig(spark, d), 15, 8)
+    sketches = written(kmers.scaled_sketch(_by_contig(spark, d), 15, 8), "sketches")
     hits = search.index_hits(sketches.filter("entity % 50 = 0"), search.posting_index(sketches, 1000))
     return search.top_hits(hits, 5).select("query", "ref", "shared", "query_size", "rank")
 
@@ -130,7 +130,7 @@ def latest_species(spark, d):
 
 def annotate(spark, d):
     base = contigs(spark, d)
-    sketch = kmers.bit_sketch(base.select(F.col("contig_id").alias("entity"), "seq"), BITS, SKETCH_K)
+    sketch = written(kmers.bit_sketch(base.select(F.col("contig_id").alias("entity"), "seq"), BITS, SKETCH_K), "sketch")
     labels = base.join(latest_species(spark, d), "sag_id").select(F.col("contig_id").alias("ref"), "species")
     out = search.annotate(sketch.filter("entity % 50 = 0"), sketch.filter("entity % 50 <> 0").withColumnRenamed("entity", "ref"), labels)
     return out.withColumnRenamed("query", "contig_id")
