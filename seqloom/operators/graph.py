@@ -2,7 +2,8 @@
 
 The objective is the sum over pairs within a community of A+ - gamma k k' / 2m - lambda A-: modularity with a
 resolution on the attraction layer less the weight of repulsion. Nodes move to the neighbouring community with the
-largest gain; half of them, chosen by a hash of the round, may move in a round, so that neighbours do not swap. What
+largest gain; half of them, chosen by a hash that changes, may move in a round and the
+other half in the next, so that neighbours do not swap. What
 no longer moves is contracted and moved again as one. A round is kept only if the objective grew.
 
 Defined results: nodes without edges are communities of their own; self edges, null ends and weights <= 0 are no
@@ -66,7 +67,7 @@ def _round(level: DataFrame, degrees: DataFrame, comm: DataFrame, turn: int) ->
     gain = F.round(F.col("link") - F.col("scale") * F.col("k") * (F.col("total_k") - F.when(F.col("c") == F.col("now"), F.col("k")).otherwise(0.0)), 12)
     options = options.withColumn("gain", gain)
     best = options.groupBy("point", "node").agg(F.first("now").alias("now"), F.max(F.when(F.col("c") == F.col("now"), F.col("gain"))).alias("stay"), F.max("gain").alias("top"), F.min(F.struct((-F.col("gain")).alias("g"), F.col("c").alias("c"))).alias("to"))
-    may = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
+    may = F.pmod(F.xxhash64("node", F.lit(turn // 2)) + turn, F.lit(2)) == 0  # two rounds in a row give every node its turn
     return best.select("point", "node", F.when(may & (F.col("top") > F.col("stay") + 1e-9), F.col("to.c")).otherwise(F.col("now")).alias("c"))
 
 
@@ -96,8 +97,8 @@ def communities(nodes: DataFrame, attraction: DataFrame, repulsion: DataFrame |
         current = written(start, "partition")
         score = {r["point"]: r["q"] for r in objective(level, degrees, current).collect()}
         idle = 0
+        turn += turn % 2
         for _ in range(rounds):
-            turn += 1
             after = written(_round(level, degrees, current, turn), "partition")
             now = {r["point"]: r["q"] for r in objective(level, degrees, after).collect()}
             better = [p for p in now if now[p] > score.get(p, float("-inf")) + 1e-9]
@@ -107,8 +108,9 @@ def communities(nodes: DataFrame, attraction: DataFrame, repulsion: DataFrame |
                 current = after.filter(F.col("point").isin(better)).unionByName(current.filter(~F.col("point").isin(better)))
             else:
                 idle += 1
-                if idle == 2:
-                    break
+            turn += 1
+            if idle == 2:
+                break
         membership = written(membership.join(current.toDF("point", "c", "c2"), ["point", "c"]).select("point", "node", F.col("c2").alias("c")), "membership")
         # contract: communities become nodes, links between and within them add up
         source, target = current.toDF("point", "src", "cs"), current.toDF("point", "dst", "cd")
