@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import seqfuncs as fn
+from ..session import spread
 from . import kmers
 
 # fixed values: scores of a match, a mismatch and a gap
@@ -156,5 +157,6 @@ def pair_estimates(pairs: DataFrame, records: DataFrame, k: int = 15, window: in
                 columns = list(zip(*out)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([a, b, *(pa.array(c, pa.float64()) for c in columns[:3]), *(pa.array(c, pa.int64()) for c in columns[3:])], names=["ref", "query", "ani", "af_ref", "af_query", "aligned", "matches"])
 
-    scored = held.select("a", "b", "spans", "ref", "query").mapInArrow(run, f"ref {kind}, query {kind}, ani double, af_ref double, af_query double, aligned bigint, matches bigint")
+    # the kernel is far dearer than its rows are large, so they are spread by number and not by size
+    scored = held.select("a", "b", "spans", "ref", "query").repartition(4 * spread(pairs.sparkSession)).mapInArrow(run, f"ref {kind}, query {kind}, ani double, af_ref double, af_query double, aligned bigint, matches bigint")
     return scored.filter(F.greatest("af_ref", "af_query") + 1e-12 >= min_af)

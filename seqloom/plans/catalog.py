@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import streaming
 from ..functions import seqfuncs as fn
 from ..operators import align, audit, evidence, graph, kmers, search, triangle
 from ..session import table, written
@@ -274,6 +275,10 @@ def telemetry_monotonic(spark, d):
     return audit.monotonic_series(table(spark, d, "events"), "user_id", "ts", "event_id", "value")
 
 
+def telemetry_windows(spark, d):
+    return streaming.telemetry_windows(table(spark, d, "events")).withColumn("total", F.round("total", 6))
+
+
 def merged_fasta(spark, d):
     """Records of each labelled group as FASTA text, by its size and digest."""
     named = contigs(spark, d).join(latest_species(spark, d), "sag_id").filter("rec_name is not null and seq <> ''").withColumn("species_group", fn.safe_id(F.col("species")))
@@ -313,7 +318,7 @@ CATALOG = {
         annotate, entity_stats, quality_gate, input_ids, taxonomy_names, accessions, kmer_counts, scaled_sketch, posting_index, index_info, index_search, seed_table, triangle_candidates,
         jaccard_classes, jaccard_pairs, candidate_recall, sketch_votes, hamming_nearest, published_annotations, pending_entities, label_groups, key_closure, partition_closure, bin_members,
         attraction_edges, best_hits, pair_evidence, repulsion_edges, graph_components, cluster_purity, cluster_names, signed_clusters, sweep_selection, assembly_n50, interval_union, coverage_windows,
-        depth_segments, quality_class_counts, metric_deltas, multiset_digest, ordered_digest, systematic_sample, telemetry_monotonic, merged_fasta, fasta_records, mate_pairs, evidence_kinds,
+        depth_segments, quality_class_counts, metric_deltas, multiset_digest, ordered_digest, systematic_sample, telemetry_monotonic, telemetry_windows, merged_fasta, fasta_records, mate_pairs, evidence_kinds,
         largest_entities, ani_af_pairs,
     )
 }

@@ -122,6 +122,7 @@ SELECT class_change, count(*) AS n_pairs, round(avg(d), 6) AS mean_delta, round(
     "systematic_sample": f"WITH {_IDS}, r AS (SELECT id AS sag_id, row_number() OVER (ORDER BY id) - 1 AS rank FROM ids) SELECT * FROM r WHERE rank % 4 = 0",
     "telemetry_monotonic": """WITH e AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)
 SELECT user_id, count(*) AS n, min(value) AS low, max(value) AS high, arg_min(value, {'t': ts, 'e': event_id}) AS first, arg_max(value, {'t': ts, 'e': event_id}) AS last, count(*) FILTER (value < p) AS n_falls FROM e GROUP BY 1""",
+    "telemetry_windows": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, min(value) AS low, max(value) AS high, round(sum(value), 6) AS total FROM events WHERE ts IS NOT NULL GROUP BY 1, 2",
     "merged_fasta": f"""WITH {_C}, {_LATEST}, x AS (SELECT regexp_replace(species, '[^A-Za-z0-9._-]', '_', 'g') AS grp, '>' || sag_id || '|' || rec_name || chr(10) || regexp_replace(s, '(.{{1,60}})', '\\1' || chr(10), 'g') AS t FROM c JOIN ls ON ls.sag = sag_id WHERE rec_name IS NOT NULL AND s <> '')
 SELECT grp AS "group", count(*) AS n_records, CAST(sum(length(t)) AS BIGINT) AS n_chars, min(md5(t)) AS least_md5 FROM x GROUP BY 1""",
     "fasta_records": """WITH f AS (SELECT DISTINCT file_id, replace(replace(file_text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS t FROM fasta_evidence WHERE file_text IS NOT NULL),
