@@ -138,6 +138,14 @@ def seed_table(records: DataFrame, k: int = 15, most: int = 64, sample: int = 1)
     return rows.join(frequent, ["entity", "seed"], "left_anti")
 
 
+def _added(entity: pa.Array, row: np.ndarray, h: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Votes of one batch's hashes, added by entity row and slot."""
+    slot = (h & np.uint64((1 << 63) - 1)) % np.uint64(bits)
+    key, inverse = np.unique(row * bits + slot.astype(np.int64), return_inverse=True)
+    vote = np.bincount(inverse, weights=np.where(h >> np.uint64(63), 1, -1), minlength=len(key)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([entity.take(pa.array(key // bits)), pa.array((key % bits).astype(np.int32)), pa.array(vote)], names=["entity", "slot", "vote"])
+
+
 def sketch_votes(records: DataFrame, bits: int, k: int) -> DataFrame:
     """(entity, slot, vote): each word votes +1 or -1, by its hash's top bit, on the slot its other bits name.
 
@@ -148,33 +156,101 @@ def sketch_votes(records: DataFrame, bits: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, _, word = canonical_words(batch.column(1), k)
-            h = mix64(word)
-            slot = (h & np.uint64((1 << 63) - 1)) % np.uint64(bits)
-            key, inverse = np.unique(row * bits + slot.astype(np.int64), return_inverse=True)
-            vote = np.bincount(inverse, weights=np.where(h >> np.uint64(63), 1, -1), minlength=len(key)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(key // bits)), pa.array((key % bits).astype(np.int32)), pa.array(vote)], names=["entity", "slot", "vote"])
+            yield _added(batch.column(0), row, mix64(word), bits)
 
     rows = records.select("entity", "seq").mapInArrow(run, f"entity {kind.simpleString()}, slot int, vote bigint")
     return rows.groupBy("entity", "slot").agg(F.sum("vote").alias("vote"))
 
 
-def bit_sketch(records: DataFrame, bits: int = 55_296, k: int = 17) -> DataFrame:
-    """(entity, bits binary): bit i is 1 where slot i's votes do not sum below 0; bits count from the top of each byte."""
-    below = sketch_votes(records, bits, k).groupBy("entity").agg(F.collect_list(F.when(F.col("vote") < 0, F.col("slot"))).alias("below"))
+# fixed values: the first two default secrets of the published wyhash
+_SECRET = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Low and high half of the 128-bit products."""
+    half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    mid = a1 * b0 + ((a0 * b0) >> half)
+    cross = a0 * b1 + (mid & low)
+    return a * b, a1 * b1 + (mid >> half) + (cross >> half)
+
+
+def wyhash17(data: np.ndarray) -> np.ndarray:
+    """wyhash with seed 0 of every window of 17 bytes."""
+    n = len(data) - 16
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    eight = data.astype(np.uint64)
+    for size in (1, 2, 4):
+        eight = eight[:-size] | (eight[size:] << np.uint64(8 * size))
+    s0, s1 = (np.array([s], np.uint64) for s in _SECRET)
+    low, high = _product(s0, s1)
+    low, high = _product(eight[:n] ^ s1, eight[8 : 8 + n] ^ low ^ high)
+    low, high = _product(eight[1 : 1 + n] ^ s1, eight[9 : 9 + n] ^ low ^ high)
+    low, high = _product(low ^ s0 ^ np.uint64(17), high ^ s1)
+    return low ^ high
+
+
+_OTHER_STRAND = np.full(256, ord("N"), np.uint8)
+for _a, _b in ("AT", "TA", "GC", "CG"):
+    _OTHER_STRAND[ord(_a)] = ord(_b)
+
+
+def archived_votes(records: DataFrame, bits: int = 55_296) -> DataFrame:
+    """(entity, slot, vote) as stored reference sketches were made: raw 17-byte windows of both strands, hashed by wyhash.
+
+    A record of up to 17 letters has no window; the last letter of a record is in none, and on the other strand every
+    letter but an upper-case base is N.
+    """
     kind = records.schema["entity"].dataType
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for i, seq in enumerate(batch.column(1).to_pylist()):
+                if seq is not None and len(seq) > 17:
+                    data = np.frombuffer(seq.encode(), np.uint8)[:-1]
+                    for strand in (data, _OTHER_STRAND[data[::-1]]):
+                        hashes.append(wyhash17(strand))
+                        rows.append(np.full(len(hashes[-1]), i))
+            yield _added(batch.column(0), np.concatenate(rows), np.concatenate(hashes), bits)
+
+    rows = records.select("entity", "seq").mapInArrow(run, f"entity {kind.simpleString()}, slot int, vote bigint")
+    return rows.groupBy("entity", "slot").agg(F.sum("vote").alias("vote"))
+
+
+def packed_bits(votes: DataFrame, bits: int, words: bool = False) -> DataFrame:
+    """(entity, bits binary) of votes: bit i is 1 where slot i's votes do not sum below 0, from the top of each byte.
+
+    With words, the bytes of every 64 bits are stored lowest first.
+    """
+    below = votes.groupBy("entity").agg(F.collect_list(F.when(F.col("vote") < 0, F.col("slot"))).alias("below"))
+    kind = votes.schema["entity"].dataType
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = []
             for slots in batch.column(1):
                 on = np.ones(bits, np.uint8)
                 on[np.array(slots.as_py(), np.int64)] = 0
-                packed.append(np.packbits(on).tobytes())
+                data = np.packbits(on)
+                packed.append((data.reshape(-1, 8)[:, ::-1] if words else data).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["entity", "bits"])
 
     return below.mapInArrow(run, f"entity {kind.simpleString()}, bits binary")
 
 
+def bit_sketch(records: DataFrame, bits: int = 55_296, k: int = 17) -> DataFrame:
+    """(entity, bits binary) by hashed canonical words; entities without words have no row."""
+    return packed_bits(sketch_votes(records, bits, k), bits)
+
+
+def archived_sketch(records: DataFrame) -> DataFrame:
+    """(entity, bits binary) of 6,912 bytes, equal to stored reference sketches; entities without windows have all bits set."""
+    made = packed_bits(archived_votes(records), 55_296, words=True)
+    return records.select("entity").distinct().join(made, "entity", "left").select("entity", F.coalesce("bits", F.unhex(F.repeat(F.lit("FF"), 6912))).alias("bits"))
+
+
 def strand_rows(records: DataFrame, k: int, both: bool) -> DataFrame:
     """(entity, part, pos, word, rev) of records (entity, part, seq): words as they stand, and with both also those of the reverse complement, with places in it."""
     kind = records.schema["entity"].dataType.simpleString()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -42,7 +43,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if app not in _scratch:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            if not spark.sparkContext.master.startswith("local["):
+            if not re.match(r"local($|\[)", spark.sparkContext.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="spark-seqloom-")
         _scratch[app] = f"{base.rstrip('/')}/seqloom-{uuid.uuid4().hex}"
