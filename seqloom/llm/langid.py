@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import spread, table
 
 DOCS_PER_LANGUAGE = 500
 DICTIONARY_BYTES = 40_000
@@ -310,18 +310,23 @@ def _languages(model: Model):
     return run
 
 
+def _spread(documents: DataFrame) -> DataFrame:
+    """Documents over tasks by number: encoding takes far longer than moving them, and files may be few or uneven."""
+    return documents.repartition(2 * spread(documents.sparkSession))
+
+
 def document_languages(documents: DataFrame, labels: DataFrame, languages: DataFrame) -> DataFrame:
     """(doc_id, label, lang, main, n_langs, confidence): a row for each language of each document; label is the delivered one in the form of languages.lang, or null."""
     model = train(labels, documents, languages)
     said = label_language(F.col("lang"), languages)
-    rows = documents.select("doc_id", said.alias("label"), "text").mapInArrow(_languages(model), "doc_id bigint, label string, lang string, main boolean, n_langs int, confidence double")
+    rows = _spread(documents.select("doc_id", said.alias("label"), "text")).mapInArrow(_languages(model), "doc_id bigint, label string, lang string, main boolean, n_langs int, confidence double")
     return rows.distinct()
 
 
 def passage_languages(documents: DataFrame, labels: DataFrame, languages: DataFrame) -> DataFrame:
     """(doc_id, passage, start, end, lang, confidence): the passages of each text in order; lang is null for wordless ones."""
     model = train(labels, documents, languages)
-    return documents.select("doc_id", "text").mapInArrow(_classified(model), "doc_id bigint, passage int, start int, end int, lang string, confidence double").distinct()
+    return _spread(documents.select("doc_id", "text")).mapInArrow(_classified(model), "doc_id bigint, passage int, start int, end int, lang string, confidence double").distinct()
 
 
 def wrong_labels(found: DataFrame) -> DataFrame:
