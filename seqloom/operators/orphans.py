@@ -64,7 +64,9 @@ def _assign(bounds: list[bytes]):
                 known = batch.column(1).dictionary_encode()  # a key that recurs in a batch is searched once
                 found = np.searchsorted(lows, _bytes(known.dictionary), side="right") - 1
                 at = np.maximum(found, 0)[known.indices.to_numpy(zero_copy_only=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int32())], names=[*batch.schema.names, "range_id"])
+            rows = pa.table([*batch.columns, pa.array(at, pa.int32())], names=[*batch.schema.names, "range_id"])
+            # a row delivered very often leaves a batch once, so its copies cannot fill one probe batch
+            yield from rows.group_by(rows.column_names).aggregate([]).select(rows.column_names).to_batches()
 
     return run
 
@@ -114,7 +116,6 @@ def orphan_references(references: DataFrame, parents: DataFrame, per_range: int
     """
     ranged, bounds = parent_ranges(parents, per_range)
     refs = references.select("in_table", F.regexp_replace("key", r"^[ \t]+|[ \t]+$", "").alias("key"), F.col("at").cast("timestamp_ntz").alias("at")).filter("key is not null and at is not null")
-    # the same reference in the same instant is probed once; repeats are combined before the shuffle
     placed = written(refs.mapInArrow(_assign(bounds), "in_table string, key string, at timestamp_ntz, range_id int"), "references")
     counts = placed.groupBy("range_id").count().collect()  # one number a range
     if not counts:
