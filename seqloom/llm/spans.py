@@ -8,8 +8,9 @@ fuzzy passages.
 
 A seed with more than MAX_OCCURRENCES places would give too many pairs. Around its places the exact stretches of
 `span` letters take the seed's part: each distinct stretch links every record that holds it to one record that does,
-so the number of links is that of the places, and no link between different records is lost for the result, which
-asks of each position only whether it is shared. Records with equal letters are first made one, with its copies.
+so the number of links is that of the places, and no link between different records is lost for the shared spans,
+which ask of each position only whether it is shared. Passages are of pairs, so for them the places of a frequent seed
+are all joined, in groups. Records with equal letters are first made one, with its copies.
 
 Defined results: only the letters A to Z count, in upper case; null, empty and short sequences share nothing; records
 of any length are cut into overlapping parts for seeding; rows delivered twice are one record; a stretch that recurs
@@ -32,6 +33,8 @@ from ..session import table, written
 SPAN = 120
 K = 22
 MAX_OCCURRENCES = 12
+#: places of a frequent seed that one group holds where all pairs are asked for
+PLACES = 256
 MAX_GAP = 500
 GAP_COST = 0.05
 #: letters seeded at once; the place within this many letters shares a word with the seed's rank
@@ -280,19 +283,36 @@ def seeded(contig: DataFrame, k: int = K, span: int = SPAN) -> DataFrame:
     return written(contig.select("contig_id", F.col("seq").cast("string").alias("seq")).mapInArrow(_seeded(k, span), "contig_id bigint, same bigint, n int, packed binary, seeds array<bigint>, places array<int>"), "seeded")
 
 
-def matched_pairs(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
-    """(lo, hi, segments, packed_lo, packed_hi): pairs of different sequences with their matches by diagonal."""
+def shared_seeds(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Places (seed, same, place) of seeds that different sequences hold, and these sequences (same, packed)."""
     seeds = base.select("same", F.explode(F.arrays_zip("seeds", "places")).alias("z")).select(F.col("z.seeds").alias("seed"), "same", F.col("z.places").alias("place"))
     # nine of ten seeds occur in one sequence only; they end in this combined aggregation
     shared = seeds.groupBy("seed").agg(F.min("same").alias("first"), F.max("same").alias("last")).filter("first <> last").select("seed")
     matched = written(seeds.join(shared, "seed").distinct(), "matched")
-    frequent = matched.groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("seed")
-    rare = matched.join(frequent, "seed", "left_anti")
     seqs = written(base.select("same", "packed").join(matched.select("same").distinct(), "same", "left_semi").groupBy("same").agg(F.first("packed").alias("packed")), "sequences")
+    return matched, seqs
+
+
+def seed_links(ours: DataFrame, theirs: DataFrame, k: int, by: list[str]) -> DataFrame:
+    """(lo, hi, x, d, len) of all places (by, same, place) of different sequences that are equal in the columns by."""
+    left = ours.select(*by, F.col("same").alias("lo"), F.col("place").alias("x"))
+    right = theirs.select(*by, F.col("same").alias("hi"), F.col("place").alias("y"))
+    return left.join(right, by).filter("lo < hi").select("lo", "hi", "x", (F.col("y") - F.col("x")).alias("d"), F.lit(k).alias("len"))
 
-    left = rare.select("seed", F.col("same").alias("lo"), F.col("place").alias("x"))
-    right = rare.select("seed", F.col("same").alias("hi"), F.col("place").alias("y"))
-    links = left.join(right, "seed").filter("lo < hi").select("lo", "hi", "x", (F.col("y") - F.col("x")).alias("d"), F.lit(k).alias("len"))
+
+def with_sequences(pairs: DataFrame, seqs: DataFrame) -> DataFrame:
+    return pairs.join(seqs.toDF("lo", "packed_lo"), "lo").join(seqs.toDF("hi", "packed_hi"), "hi").select("lo", "hi", "segments", "packed_lo", "packed_hi")
+
+
+def matched_pairs(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
+    """(lo, hi, segments, packed_lo, packed_hi): pairs of different sequences with their matches by diagonal.
+
+    Enough to tell of each position whether it is shared; of the pairs that frequent stretches make it has some only.
+    """
+    matched, seqs = shared_seeds(base)
+    frequent = matched.groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("seed")
+    rare = matched.join(frequent, "seed", "left_anti")
+    links = seed_links(rare, rare, k, ["seed"])
 
     # a place set per sequence is bounded by the sequence's length
     around = matched.join(frequent, "seed").groupBy("same").agg(F.collect_set("place").alias("places"))
@@ -309,7 +329,23 @@ def matched_pairs(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
     )
     diagonals = links.unionByName(star).groupBy("lo", "hi", "d").agg(F.min("x").alias("x0"), F.max(F.col("x") + F.col("len")).alias("x1"))
     pairs = diagonals.groupBy("lo", "hi").agg(F.collect_list(F.struct("d", "x0", "x1")).alias("segments"))
-    return pairs.join(seqs.toDF("lo", "packed_lo"), "lo").join(seqs.toDF("hi", "packed_hi"), "hi").select("lo", "hi", "segments", "packed_lo", "packed_hi")
+    return with_sequences(pairs, seqs)
+
+
+def every_pair(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
+    """(lo, hi, segments, packed_lo, packed_hi): all pairs of different sequences that share a seed, however frequent it is.
+
+    The places of a seed with more than `most` are dealt into groups of about PLACES, and every group meets every
+    group as a key of its own, so no task has all pairs of a seed.
+    """
+    matched, seqs = shared_seeds(base)
+    parts = written(matched.groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("seed", F.ceil(F.col("n") / PLACES).alias("parts")), "parts")
+    rare = matched.join(parts, "seed", "left_anti")
+    links = seed_links(rare, rare, k, ["seed"])
+    dealt = matched.join(parts, "seed").withColumn("own", F.pmod(F.xxhash64("same", "place"), "parts")).withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    hot = seed_links(dealt.withColumnsRenamed({"own": "g", "met": "h"}), dealt.withColumnsRenamed({"met": "g", "own": "h"}), k, ["seed", "g", "h"])
+    diagonals = links.unionByName(hot).groupBy("lo", "hi", "d").agg(F.min("x").alias("x0"), F.max(F.col("x") + F.col("len")).alias("x1"))
+    return with_sequences(diagonals.groupBy("lo", "hi").agg(F.array_sort(F.collect_list(F.struct("d", "x0", "x1"))).alias("segments")), seqs)
 
 
 def shared_spans(contig: DataFrame, span: int = SPAN, k: int = K, most: int = MAX_OCCURRENCES) -> DataFrame:
@@ -329,10 +365,11 @@ def shared_spans(contig: DataFrame, span: int = SPAN, k: int = K, most: int = MA
 def fuzzy_passages(contig: DataFrame, span: int = SPAN, k: int = K, most: int = MAX_OCCURRENCES) -> DataFrame:
     """Aligned chains of pairs of different sequences: ends in both, number of segments and of equal letters.
 
-    a and b name sequences by the smallest contig_id that holds them; copies are not expanded into pairs.
+    Every pair that shares a seed has its passages, however many records hold the seed. a and b name sequences by the
+    smallest contig_id that holds them; copies are not expanded into pairs.
     """
     base = seeded(contig, k, span)
-    chains = matched_pairs(base, k, span, most).mapInArrow(_aligned(span, k, True), ", ".join(f"{c} {'bigint' if c in ('a', 'b') else 'int'}" for c in _PASSAGE))
+    chains = every_pair(base, k, span, most).mapInArrow(_aligned(span, k, True), ", ".join(f"{c} {'bigint' if c in ('a', 'b') else 'int'}" for c in _PASSAGE))
     names = base.groupBy("same").agg(F.min("contig_id").alias("name"))
     named = chains.join(names.toDF("a", "contig_a"), "a").join(names.toDF("b", "contig_b"), "b")
     return named.select("contig_a", "contig_b", *_PASSAGE[2:])

@@ -108,3 +108,23 @@ def test_passages_span_a_change(spark):
 
 def test_empty(spark):
     assert spans.shared_spans(spark.createDataFrame([], "contig_id bigint, seq string")).collect() == []
+
+
+def test_a_frequent_repeat_makes_all_pairs(spark, monkeypatch):
+    rng = random.Random(11)
+    dna = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    core = dna(150)
+    # a letter in twelve differs beside the repeat's core of 30 letters: no stretch of 120 letters is exact
+    change = lambda s: "".join(rng.choice("ACGT") if i % 12 == 0 and not 60 <= i < 90 else c for i, c in enumerate(s))
+    seqs = {i: dna(rng.randint(100, 200)) + change(core) + dna(rng.randint(100, 200)) for i in range(30)}
+    seeds = {}
+    for i, s in seqs.items():
+        for p, h in zip(*spans.minimizers(np.frombuffer(s.encode(), np.uint8), np.array([0, len(s)]), 22, 120)[1:], strict=True):
+            seeds.setdefault(int(h), set()).add(i)
+    want = {(a, b) for held in seeds.values() for a in held for b in held if a < b}
+    assert max(map(len, seeds.values())) > 12 and len(want) > 100
+    monkeypatch.setattr(spans, "PLACES", 7)
+    df = spark.createDataFrame(list(seqs.items()), "contig_id bigint, seq string")
+    found = [spans.fuzzy_passages(df, most=most).collect() for most in (12, 10**6)]
+    assert {tuple(sorted((r.contig_a, r.contig_b))) for r in found[0]} == want
+    assert sorted(map(tuple, found[0])) == sorted(map(tuple, found[1]))
