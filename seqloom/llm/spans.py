@@ -336,7 +336,8 @@ def every_pair(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
     """(lo, hi, segments, packed_lo, packed_hi): all pairs of different sequences that share a seed, however frequent it is.
 
     The places of a seed with more than `most` are dealt into groups of about PLACES, and every group meets every
-    group as a key of its own, so no task has all pairs of a seed.
+    group as a key of its own, so no task has all pairs of a seed. A segment ends where a diagonal's next match lies
+    further off than the seeds of one exact run can.
     """
     matched, seqs = shared_seeds(base)
     parts = written(matched.groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("seed", F.ceil(F.col("n") / PLACES).alias("parts")), "parts")
@@ -344,7 +345,11 @@ def every_pair(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
     links = seed_links(rare, rare, k, ["seed"])
     dealt = matched.join(parts, "seed").withColumn("own", F.pmod(F.xxhash64("same", "place"), "parts")).withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     hot = seed_links(dealt.withColumnsRenamed({"own": "g", "met": "h"}), dealt.withColumnsRenamed({"met": "g", "own": "h"}), k, ["seed", "g", "h"])
-    diagonals = links.unionByName(hot).groupBy("lo", "hi", "d").agg(F.min("x").alias("x0"), F.max(F.col("x") + F.col("len")).alias("x1"))
+    # seeds of an exact run start at most span - k + 1 letters apart; what lies further apart is left to the chaining
+    along = Window.partitionBy("lo", "hi", "d").orderBy("x")
+    apart = F.coalesce(F.col("x") - F.lag("x").over(along) > span - k + 1, F.lit(False)).cast("int")
+    runs = links.unionByName(hot).withColumn("apart", apart).withColumn("run", F.sum("apart").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    diagonals = runs.groupBy("lo", "hi", "d", "run").agg(F.min("x").alias("x0"), F.max(F.col("x") + F.col("len")).alias("x1"))
     return with_sequences(diagonals.groupBy("lo", "hi").agg(F.array_sort(F.collect_list(F.struct("d", "x0", "x1"))).alias("segments")), seqs)
 
 

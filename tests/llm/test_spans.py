@@ -128,3 +128,22 @@ def test_a_frequent_repeat_makes_all_pairs(spark, monkeypatch):
     found = [spans.fuzzy_passages(df, most=most).collect() for most in (12, 10**6)]
     assert {tuple(sorted((r.contig_a, r.contig_b))) for r in found[0]} == want
     assert sorted(map(tuple, found[0])) == sorted(map(tuple, found[1]))
+
+
+def test_far_matches_of_a_diagonal_are_passages_of_their_own(spark):
+    rng = random.Random(13)
+    dna = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    x, y = dna(200), dna(200)
+    seqs = [(1, x + dna(2000) + y), (2, x + dna(2000) + y)]
+    rows = spans.fuzzy_passages(spark.createDataFrame(seqs, "contig_id bigint, seq string")).collect()
+    assert len(rows) == 2 and all(r.a_end - r.a_start <= 200 and r.n_equal == r.a_end - r.a_start for r in rows)
+
+
+def test_a_chain_returns_to_a_diagonal(spark):
+    rng = random.Random(14)
+    dna = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    x, y, z = dna(200), dna(200), dna(200)
+    # five letters more before y in one record, and five more after it in the other
+    seqs = [(1, x + y + "GATCA" + z), (2, x + "TACGA" + y + z)]
+    best = max(spans.fuzzy_passages(spark.createDataFrame(seqs, "contig_id bigint, seq string")).collect(), key=lambda r: r.n_equal)
+    assert best.n_segments == 3 and best.n_equal == best.a_end - best.a_start - 5
