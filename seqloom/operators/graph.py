@@ -2,9 +2,10 @@
 
 The objective is the sum over pairs within a community of A+ - gamma k k' / 2m - lambda A-: modularity with a
 resolution on the attraction layer less the weight of repulsion. Nodes move to the neighbouring community with the
-largest gain; half of them, chosen by a hash that changes, may move in a round and the
-other half in the next, so that neighbours do not swap. What
-no longer moves is contracted and moved again as one. A round is kept only if the objective grew.
+largest gain; half of them, chosen by a hash that changes, may move in a round and the other half in the next, so that
+neighbours do not swap. A round is kept only if the objective grew; if it did not, a smaller share may move in the next,
+at last the node with the largest gain alone. When no node gains by moving, communities are contracted and moved again
+as one, until a level contracts nothing.
 
 Defined results: nodes without edges are communities of their own; self edges, null ends and weights <= 0 are no
 edges; parallel edges keep the largest weight; results do not depend on the order of rows.
@@ -19,6 +20,8 @@ from ..session import written
 
 # fixed values: the parameter points (resolution, repulsion factor) of the default sweep
 SWEEP = [(1.0, 1.0), (1.0, 3.0), (1.0, 10.0), (2.0, 3.0), (2.0, 10.0), (2.0, 30.0)]
+#: nodes are shared into at most so many turns; then they move one by one
+FEWEST = 64
 
 
 def minimum_labels(links: DataFrame) -> DataFrame:
@@ -57,8 +60,8 @@ def objective(level: DataFrame, degrees: DataFrame, comm: DataFrame) -> DataFram
     return sums.join(inside, "point", "left").select("point", (F.coalesce("inside", F.lit(0.0)) - F.col("expected")).alias("q"))
 
 
-def _round(level: DataFrame, degrees: DataFrame, comm: DataFrame, turn: int) -> DataFrame:
-    """One round of moves: (point, node, c)."""
+def _wishes(level: DataFrame, degrees: DataFrame, comm: DataFrame) -> DataFrame:
+    """(point, node, c, to, more): each node's community, its best one, and what it gains by moving there."""
     own = comm.join(degrees, ["point", "node"])
     total = own.groupBy("point", "c").agg(F.sum("k").alias("total_k"))
     links = level.filter("src <> dst").join(comm.toDF("point", "dst", "c"), ["point", "dst"]).groupBy("point", F.col("src").alias("node"), "c").agg(F.sum("w").alias("link"))
@@ -67,11 +70,37 @@ def _round(level: DataFrame, degrees: DataFrame, comm: DataFrame, turn: int) ->
     gain = F.round(F.col("link") - F.col("scale") * F.col("k") * (F.col("total_k") - F.when(F.col("c") == F.col("now"), F.col("k")).otherwise(0.0)), 12)
     options = options.withColumn("gain", gain)
     best = options.groupBy("point", "node").agg(F.first("now").alias("now"), F.max(F.when(F.col("c") == F.col("now"), F.col("gain"))).alias("stay"), F.max("gain").alias("top"), F.min(F.struct((-F.col("gain")).alias("g"), F.col("c").alias("c"))).alias("to"))
-    may = F.pmod(F.xxhash64("node", F.lit(turn // 2)) + turn, F.lit(2)) == 0  # two rounds in a row give every node its turn
-    return best.select("point", "node", F.when(may & (F.col("top") > F.col("stay") + 1e-9), F.col("to.c")).otherwise(F.col("now")).alias("c"))
-
-
-def communities(nodes: DataFrame, attraction: DataFrame, repulsion: DataFrame | None = None, points: list[tuple[float, float]] | None = None, levels: int = 2, rounds: int = 8) -> DataFrame:
+    return best.select("point", "node", F.col("now").alias("c"), F.col("to.c").alias("to"), (F.col("top") - F.col("stay")).alias("more"))
+
+
+def _settled(level: DataFrame, degrees: DataFrame, comm: DataFrame, rounds: int) -> DataFrame:
+    """The partition (point, node, c) that comm becomes when no node gains by moving; more rounds are an error."""
+    score = {r["point"]: r["q"] for r in objective(level, degrees, comm).collect()}
+    share, ended = dict.fromkeys(score, 2), set()
+    for turn in range(rounds):
+        wishes = written(_wishes(level, degrees, comm), "wishes")
+        comm = wishes.select("point", "node", "c")
+        wish = F.col("more") > 1e-9
+        first = {r["point"]: r["m"]["node"] for r in wishes.filter(wish).groupBy("point").agg(F.min(F.struct((-F.col("more")).alias("g"), "node")).alias("m")).collect()}
+        moving = [p for p in first if p not in ended]
+        if not moving:
+            return comm
+        may = F.lit(False)
+        for p in moving:
+            # as many rounds in a row as nodes are shared into give every node its turn
+            turns = F.pmod(F.xxhash64("node", F.lit(turn // share[p])) + turn, F.lit(share[p])) == 0 if share[p] <= FEWEST else F.col("node") == first[p]
+            may |= (F.col("point") == p) & turns
+        after = wishes.select("point", "node", F.when(may & wish, F.col("to")).otherwise(F.col("c")).alias("c"))
+        now = {r["point"]: r["q"] for r in objective(level, degrees, after).collect()}
+        better = [p for p in moving if now[p] > score[p] + 1e-9]
+        score |= {p: now[p] for p in better}
+        ended |= {p for p in moving if p not in better and share[p] > FEWEST}  # a gain below what the sum can show
+        share |= {p: max(2, share[p] // 2) if p in better else 2 * share[p] for p in moving}
+        comm = wishes.select("point", "node", F.when(F.col("point").isin(better) & may & wish, F.col("to")).otherwise(F.col("c")).alias("c"))
+    raise RuntimeError(f"communities still change after {rounds} rounds")
+
+
+def communities(nodes: DataFrame, attraction: DataFrame, repulsion: DataFrame | None = None, points: list[tuple[float, float]] | None = None, rounds: int = 1000) -> DataFrame:
     """(point, node, community) for each parameter point (resolution, factor); community is named by its smallest node.
 
     nodes (node string), attraction and repulsion (a, b, weight). Without points, one with resolution 1.
@@ -91,32 +120,17 @@ def communities(nodes: DataFrame, attraction: DataFrame, repulsion: DataFrame |
     linked = k.select("node", "k", gammas.alias("p")).select("p.point", "node", "k", F.col("p.scale").alias("scale"))
     degrees = written(linked, "degrees")
     membership = degrees.select("point", "node", F.col("node").alias("c"))
-    inner, turn = membership, 0
-    for _ in range(levels):
-        start = inner
-        current = written(start, "partition")
-        score = {r["point"]: r["q"] for r in objective(level, degrees, current).collect()}
-        idle = 0
-        turn += turn % 2
-        for _ in range(rounds):
-            after = written(_round(level, degrees, current, turn), "partition")
-            now = {r["point"]: r["q"] for r in objective(level, degrees, after).collect()}
-            better = [p for p in now if now[p] > score.get(p, float("-inf")) + 1e-9]
-            if better:
-                idle = 0
-                score |= {p: now[p] for p in better}
-                current = after.filter(F.col("point").isin(better)).unionByName(current.filter(~F.col("point").isin(better)))
-            else:
-                idle += 1
-            turn += 1
-            if idle == 2:
-                break
+    inner, size = membership, degrees.count()
+    while True:
+        current = written(_settled(level, degrees, inner, rounds), "partition")
         membership = written(membership.join(current.toDF("point", "c", "c2"), ["point", "c"]).select("point", "node", F.col("c2").alias("c")), "membership")
         # contract: communities become nodes, links between and within them add up
         source, target = current.toDF("point", "src", "cs"), current.toDF("point", "dst", "cd")
         level = written(level.join(source, ["point", "src"]).join(target, ["point", "dst"]).groupBy("point", F.col("cs").alias("src"), F.col("cd").alias("dst")).agg(F.sum("w").alias("w")), "level")
         degrees = written(degrees.join(current, ["point", "node"]).groupBy("point", F.col("c").alias("node")).agg(F.sum("k").alias("k"), F.first("scale").alias("scale")), "degrees")
-        inner = degrees.select("point", "node", F.col("node").alias("c"))
+        inner, before, size = degrees.select("point", "node", F.col("node").alias("c")), size, degrees.count()
+        if size == before:
+            break
     first = membership.groupBy("point", "c").agg(F.min("node").alias("community"))
     placed = membership.join(first, ["point", "c"]).select("point", "node", "community")
     everywhere = names.select("node", F.explode(F.array(*(F.lit(i) for i in range(len(points))))).alias("point"))

@@ -46,6 +46,19 @@ def test_no_edges(spark):
     assert graph.components(none).collect() == []
 
 
+def test_communities_of_a_long_path_are_settled(spark):
+    names = [f"n{i:03d}" for i in range(120)]
+    pos = [(a, b, 1.0) for a, b in zip(names, names[1:])]
+    found = parts(graph.communities(spark.createDataFrame([(n,) for n in names], "node string"), spark.createDataFrame(pos, EDGES)))
+    at = {n: c for (_, c), members in found.items() for n in members}
+    k = {n: sum(n in e[:2] for e in pos) for n in names}
+    total = {c: sum(k[n] for n in at if at[n] == c) for c in set(at.values())}
+    links = {}
+    for a, b, _ in pos:
+        links[at[a], at[b]] = links.get((at[a], at[b]), 0) + 1
+    assert all(n <= total[c] * total[e] / sum(k.values()) + 1e-9 for (c, e), n in links.items() if c != e)  # no two communities gain by being one
+
+
 def test_purity_and_selection(spark):
     members = spark.createDataFrame([("c1", f"a{i}") for i in range(10)] + [("c2", f"b{i}") for i in range(9)], "cluster string, entity string")
     pairs = spark.createDataFrame([("a0", f"a{i}", 99.0) for i in range(1, 9)] + [("a1", "a2", 96.0), ("a0", "b0", 50.0)], "a string, b string, ani double")
