@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..session import written
 from .search import posting_index
 
+#: entities of a frequent hash that one group holds where all pairs are asked for
+GROUP = 1000
+
 
 def shared_counts(index: DataFrame) -> DataFrame:
     """(a, b, shared) for a < b over an index (hash, entity)."""
@@ -15,6 +18,22 @@ def shared_counts(index: DataFrame) -> DataFrame:
     return left.join(right, "hash").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
+def all_candidates(sketches: DataFrame, min_shared: int = 1, group: int = GROUP) -> DataFrame:
+    """(a, b, shared): all pairs of entities that share min_shared hashes or more, however many entities hold a hash.
+
+    The entities of a hash that more than `group` hold are dealt into groups of about that size, and every group meets
+    every group as a key of its own, so no task has all pairs of a hash.
+    """
+    held = written(sketches.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("hash", F.ceil(F.col("n") / group).alias("parts")), "frequent")
+    rare = sketches.select("hash", "entity").join(held, "hash", "left_anti")
+    dealt = sketches.select("hash", "entity").join(held, "hash").withColumn("own", F.pmod(F.xxhash64("entity"), "parts")).withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    left = dealt.select("hash", F.col("own").alias("g"), F.col("met").alias("h"), F.col("entity").alias("a"))
+    right = dealt.select("hash", F.col("met").alias("g"), F.col("own").alias("h"), F.col("entity").alias("b"))
+    met = left.join(right, ["hash", "g", "h"]).filter("a < b").select("a", "b")
+    met = met.unionByName(rare.toDF("hash", "a").join(rare.toDF("hash", "b"), "hash").filter("a < b").select("a", "b"))
+    return met.groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= min_shared)
+
+
 def triangle_candidates(sketches: DataFrame, min_shared: int = 1, keep: int = 128, max_posting: int = 1000) -> DataFrame:
     """(a, b, shared, by_a, by_b): pairs that either end has among its keep best, and which of them has.
 

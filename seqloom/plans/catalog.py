@@ -306,9 +306,9 @@ def largest_entities(spark, d):
 
 
 def ani_af_pairs(spark, d):
-    """Estimates of contig pairs that share enough sketch hashes."""
+    """Estimates of all contig pairs that share three sketch hashes or more."""
     base = contigs(spark, d)
-    pairs = triangle.triangle_candidates(kmers.scaled_sketch(_by_contig(spark, d), 15, 16), 3, 20, 1000)
+    pairs = triangle.all_candidates(kmers.scaled_sketch(_by_contig(spark, d), 15, 16), 3)
     return align.pair_estimates(pairs.select("a", "b"), base.select(F.col("contig_id").alias("entity"), "seq"))
 
 

@@ -1,6 +1,7 @@
 import random
 
 from seqloom.operators import audit, evidence, graph, triangle
+from seqloom.plans.catalog import CATALOG
 
 EDGES = "a string, b string, weight double"
 
@@ -83,6 +84,24 @@ def test_similar_classes_equal_all_pairs(spark):
     assert {(r.a, r.b) for r in pairs.collect()} == truth and truth
 
 
+def test_all_candidates_equal_all_pairs(spark):
+    rng = random.Random(8)
+    sets = {i: {1, 2, 3} | set(rng.sample(range(4, 300), 12)) if i % 3 == 0 else set(rng.sample(range(4, 40), 10)) for i in range(120)}
+    rows = spark.createDataFrame([(i, h) for i, s in sets.items() for h in s], "entity bigint, hash bigint")
+    want = {(a, b, len(sets[a] & sets[b])) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 3}
+    for group in (7, 1000):
+        got = triangle.all_candidates(rows, 3, group).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_estimates_are_of_all_similar_pairs(spark, tmp_path):
+    rng = random.Random(9)
+    base = "".join(rng.choice("ACGT") for _ in range(400))
+    copies = [(i, "s", f"r{i}", base[:i] + "ACGT"[("ACGT".index(base[i]) + 1) % 4] + base[i + 1 :]) for i in range(46)]
+    spark.createDataFrame(copies, "contig_id bigint, sag_id string, rec_name string, seq string").write.parquet(str(tmp_path / "contig.parquet"))
+    assert CATALOG["ani_af_pairs"](spark, str(tmp_path)).count() == 46 * 45 // 2  # all of each contig's 45 partners
+
+
 def test_audits(spark):
     left = spark.createDataFrame([("a",), ("b",), (None,)], "key string")
     right = spark.createDataFrame([("b",), ("b",), ("c",), (None,)], "key string")
