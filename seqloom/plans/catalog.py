@@ -1,7 +1,7 @@
 """Queries of the sketch, search, graph and audit operators over the given tables.
 
 Each takes (spark, folder) and runs over whole tables. Searches take every row whose id is divisible by 50 as queries
-and search all rows.
+and search all rows; annotate, as its SQL, searches the rows that are not queries, and by sketches of 256 bits.
 """
 
 from __future__ import annotations
