@@ -81,7 +81,7 @@ def p4_found(spark, folder: str) -> DataFrame:
 
 
 def p4_counts(spark, folder: str) -> DataFrame:
-    """(in_table, keep_id, n_copies) of every record kept, the number including itself."""
+    """(in_table, keep_id, n_copies) of every record kept that has copies, the number including itself."""
     found = p4_found(spark, folder)
     return found.groupBy("in_table", "keep_id").agg((F.count("*") + 1).alias("n_copies"))
 
