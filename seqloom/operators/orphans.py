@@ -2,7 +2,8 @@
 
 Parents are range-partitioned by key and stored as sorted arrays per range. References get their range by a binary
 search over the range bounds, and each range's references meet its parents in batches: a range that holds very many
-references (a hot key) is split over several batches, to each of which the range's parents go. A batch is probed
+references (a hot key) is split over several batches, to each of which the range's parents go. Batches are numbered and
+a task gets one (of very many batches, every n-th), so the width of the stage follows the references. A batch is probed
 vectorised by binary search, and only the distinct misses leave it.
 
 Defined results: null is no reference; spaces and tabs around a key do not count, on either side; a blank key is a
@@ -25,6 +26,8 @@ from ..session import table, written
 
 PARENTS_PER_RANGE = 20_000
 BATCH_ROWS = 131_072
+#: batches up to this number have a task each
+TASKS = 20_000
 FAR = np.iinfo(np.int64).max
 REASONS = np.array(["", "missing", "late", "deleted"], dtype=object)
 
@@ -38,32 +41,29 @@ def _micros(column: pa.ChunkedArray | pa.Array, null: int) -> np.ndarray:
     return pc.fill_null(column.cast(pa.timestamp("us")).cast(pa.int64()), null).to_numpy(zero_copy_only=False)
 
 
-def parent_ranges(parents: DataFrame, per_range: int = PARENTS_PER_RANGE) -> tuple[DataFrame, list[bytes]]:
-    """(range_id, key, since, until) of the parents, range-partitioned, and the lower bound of each range.
+def parent_ranges(parents: DataFrame, per_range: int = PARENTS_PER_RANGE) -> tuple[DataFrame, list[tuple[int, bytes]]]:
+    """(range_id, key, since, until) of the parents, range-partitioned, and the number and lower bound of each range.
 
-    The bounds are one key a range; their number is the number of parents over per_range.
+    The bounds are one key a range; their number is the number of parents over per_range. Where keys repeat, ranges may
+    be empty, and these have none.
     """
     keyed = parents.select(F.regexp_replace("key", r"^[ \t]+|[ \t]+$", "").alias("key"), "since", "until").filter("key is not null").distinct()
     ranges = max(1, -(-parents.count() // per_range))
     ranged = written(keyed.repartitionByRange(ranges, "key").withColumn("range_id", F.spark_partition_id()), "parents")
     bounds = ranged.groupBy("range_id").agg(F.min("key").alias("low")).orderBy("range_id").collect()
-    # ranges may be empty where keys repeat, so numbers are made dense again
-    if [r["range_id"] for r in bounds] != list(range(len(bounds))):
-        dense = F.create_map(*(F.lit(x) for i, r in enumerate(bounds) for x in (r["range_id"], i)))
-        ranged = ranged.withColumn("range_id", F.element_at(dense, F.col("range_id")))
-    return ranged, [r["low"].encode() for r in bounds]
+    return ranged, [(r["range_id"], r["low"].encode()) for r in bounds]
 
 
-def _assign(bounds: list[bytes]):
-    lows = np.array(bounds, dtype=object)
+def _assign(bounds: list[tuple[int, bytes]]):
+    numbers, lows = np.array([n for n, _ in bounds] or [0], np.int32), np.array([low for _, low in bounds], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.zeros(batch.num_rows, np.int32)
+            at = np.full(batch.num_rows, numbers[0], np.int32)
             if len(lows) > 1:
                 known = batch.column(1).dictionary_encode()  # a key that recurs in a batch is searched once
                 found = np.searchsorted(lows, _bytes(known.dictionary), side="right") - 1
-                at = np.maximum(found, 0)[known.indices.to_numpy(zero_copy_only=False)]
+                at = numbers[np.maximum(found, 0)][known.indices.to_numpy(zero_copy_only=False)]
             rows = pa.table([*batch.columns, pa.array(at, pa.int32())], names=[*batch.schema.names, "range_id"])
             # a row delivered very often leaves a batch once, so its copies cannot fill one probe batch
             yield from rows.group_by(rows.column_names).aggregate([]).select(rows.column_names).to_batches()
@@ -120,16 +120,19 @@ def orphan_references(references: DataFrame, parents: DataFrame, per_range: int
     counts = placed.groupBy("range_id").count().collect()  # one number a range
     if not counts:
         return placed.sparkSession.createDataFrame([], "in_table string, month_key string, sag_id string, reason string")
-    parts = {r["range_id"]: -(-r["count"] // batch_rows) for r in counts}
-    splits = placed.sparkSession.createDataFrame(sorted(parts.items()), "range_id int, parts int")
-    batched = placed.join(F.broadcast(splits), "range_id").withColumn("part", F.pmod(F.xxhash64("at", "key"), F.col("parts")).cast("int"))
-    held = ranged.join(F.broadcast(splits), "range_id").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    out = (
-        batched.select("range_id", "part", "in_table", "key", "at")
-        .groupBy("range_id", "part")
-        .cogroup(held.select("range_id", "part", "key", F.col("since").cast("timestamp_ntz").alias("since"), F.col("until").cast("timestamp_ntz").alias("until")).groupBy("range_id", "part"))
-        .applyInArrow(_probe, "in_table string, month_key string, sag_id string, reason string")
-    )
+    splits, n = [], 0
+    for r in sorted(counts):
+        parts = -(-r["count"] // batch_rows)
+        splits.append((r["range_id"], parts, n))
+        n += parts
+    # a row a range, of known size: the optimizer sends it along or shuffles it by that
+    splits = placed.sparkSession.createDataFrame(splits, "range_id int, parts bigint, first bigint")
+    tasks = min(n, TASKS)
+    batched = placed.join(splits, "range_id").withColumn("batch", F.col("first") + F.pmod(F.xxhash64("at", "key"), "parts"))
+    held = ranged.join(splits, "range_id").withColumn("batch", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)))
+    ours = batched.select((F.col("batch") % tasks).cast("int").alias("task"), "batch", "in_table", "key", "at").repartitionById(tasks, "task")
+    theirs = held.select((F.col("batch") % tasks).cast("int").alias("task"), "batch", "key", F.col("since").cast("timestamp_ntz").alias("since"), F.col("until").cast("timestamp_ntz").alias("until")).repartitionById(tasks, "task")
+    out = ours.groupBy("task", "batch").cogroup(theirs.groupBy("task", "batch")).applyInArrow(_probe, "in_table string, month_key string, sag_id string, reason string")
     return out.distinct()
 
 
