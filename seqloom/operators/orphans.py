@@ -28,6 +28,8 @@ PARENTS_PER_RANGE = 20_000
 BATCH_ROWS = 131_072
 #: batches up to this number have a task each
 TASKS = 20_000
+#: rows of three numbers that are broadcast, at most
+BROADCAST_ROWS = 500_000
 FAR = np.iinfo(np.int64).max
 REASONS = np.array(["", "missing", "late", "deleted"], dtype=object)
 
@@ -125,8 +127,10 @@ def orphan_references(references: DataFrame, parents: DataFrame, per_range: int
         parts = -(-r["count"] // batch_rows)
         splits.append((r["range_id"], parts, n))
         n += parts
-    # a row a range, of known size: the optimizer sends it along or shuffles it by that
+    # a row a range, sent along while these are few
+    small = len(splits) <= BROADCAST_ROWS
     splits = placed.sparkSession.createDataFrame(splits, "range_id int, parts bigint, first bigint")
+    splits = F.broadcast(splits) if small else splits
     tasks = min(n, TASKS)
     batched = placed.join(splits, "range_id").withColumn("batch", F.col("first") + F.pmod(F.xxhash64("at", "key"), "parts"))
     held = ranged.join(splits, "range_id").withColumn("batch", F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)))
