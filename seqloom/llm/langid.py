@@ -2,13 +2,13 @@
 
 Every language has a raw-content zstandard dictionary of labelled text. A sentence is encoded with each of them and
 belongs to the language whose code is smallest; where the smallest codes are nearly as large as each other (digits,
-sequence letters, random strings) it is rejected and belongs to none. Languages that are not written in a sentence's
-letters are not tried on it. Over the sentences of a document the sum of code sizes is minimised with a price for
-every change of language, so that a name or a short quotation does not cut a passage.
+sequence letters, random strings) it is rejected and belongs to none. Over the sentences of a document the sum of code
+sizes is minimised with a price for every change of language, so that a name or a short quotation does not cut a passage.
 
-The dictionaries come from a bounded sample: at most DOCS_PER_LANGUAGE hand-checked documents a language and
-DICTIONARY_BYTES of their text. A language with less than LEAST_BYTES of hand-checked text takes delivered labels
-instead, without sentences that another language's dictionary knows. All documents are classified, whole.
+The dictionaries come from a bounded sample: at most DOCS_PER_LANGUAGE hand-checked documents and SAMPLE_BYTES of text
+a language, of which a dictionary holds DICTIONARY_BYTES. A language with less than LEAST_BYTES of hand-checked text
+takes delivered labels instead, without sentences that another language's dictionary knows. All documents are
+classified, whole.
 
 Defined results: null, empty and wordless texts have no language and no passage; a document delivered twice is one;
 a document of any length is cut into sentences (of at most UNIT letters), so its time grows with its length only.
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from ..session import spread, table
 
 DOCS_PER_LANGUAGE = 500
+#: text of a language's sample, of which no document makes up more than an eighth
+SAMPLE_BYTES = 200_000
 DICTIONARY_BYTES = 40_000
 LEAST_BYTES = 4_000
 LEVEL = 1
@@ -77,37 +79,17 @@ def words_only(text: str) -> bytes:
     return _OTHER.sub(" ", text.lower()).strip().encode()
 
 
-#: a language whose dictionary has less than this share of a sentence's main kind of letters is not tried on it
-LEAST_SHARE = 0.2
-#: size of a code that holds a sentence as it is, beyond the sentence
-RAW = 9
-# kinds of letters by their first byte in UTF-8: basic Latin, and each sixteenth of the bytes that begin longer ones
-_KIND = bytes(1 if 97 <= b <= 122 else b >> 4 if b >= 0xC0 else 0 for b in range(256))
-_NO_LETTER = bytes(b for b in range(256) if _KIND[b] == 0)
-_KINDS = (b"\x01", b"\x0c", b"\x0d", b"\x0e", b"\x0f")
-
-
-def _kinds(unit: bytes) -> list[int]:
-    if unit.isascii():
-        return [len(unit), 0, 0, 0, 0]
-    first = unit.translate(_KIND, _NO_LETTER)
-    return [first.count(k) for k in _KINDS]
-
-
 class Model:
     """Dictionaries by language; holds plain bytes, so it travels with a task."""
 
     def __init__(self, texts: dict[str, bytes]):
         self.langs = sorted(k for k, v in texts.items() if v)
         self.texts = {k: texts[k] for k in self.langs}
-        shares = [[n / sum(kinds) for n in kinds] for kinds in (_kinds(self.texts[k]) for k in self.langs)]
-        #: languages to try on a sentence, by its main kind of letters
-        self.tried = [tuple(i for i in range(len(self.langs)) if shares[i][kind] >= LEAST_SHARE) or tuple(range(len(self.langs))) for kind in range(len(_KINDS))]
         self._encoders: dict[int, list] = {}
         self._known: dict[bytes, tuple[int, ...]] = {}
 
     def __getstate__(self):
-        return {"langs": self.langs, "texts": self.texts, "tried": self.tried, "_encoders": {}, "_known": {}}
+        return {"langs": self.langs, "texts": self.texts, "_encoders": {}, "_known": {}}
 
     def _encode(self, unit: bytes, level: int) -> tuple[int, ...]:
         if level not in self._encoders:
@@ -118,12 +100,7 @@ class Model:
                 held = zstandard.ZstdCompressionDict(self.texts[k], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 held.precompute_compress(level=level)
                 self._encoders[level].append(zstandard.ZstdCompressor(level=level, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
-        encoders = self._encoders[level]
-        kinds = _kinds(unit)
-        sizes = [len(unit) + RAW] * len(encoders)
-        for i in self.tried[kinds.index(max(kinds))]:
-            sizes[i] = len(encoders[i](unit))
-        return tuple(sizes)
+        return tuple(len(e(unit)) for e in self._encoders[level])
 
     def sizes(self, unit: bytes) -> tuple[int, ...]:
         """Code size of a unit under each language."""
@@ -225,10 +202,13 @@ def label_language(label: Column, languages: DataFrame) -> Column:
 
 
 def _sample(labels: DataFrame, documents: DataFrame) -> dict[str, list[str]]:
-    """Texts of at most DOCS_PER_LANGUAGE documents of each language; bounded, so they go to the driver."""
+    """Texts of at most DOCS_PER_LANGUAGE documents and SAMPLE_BYTES of each language; bounded, so they go to the driver."""
     by = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    few = labels.filter("lang is not null").withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= DOCS_PER_LANGUAGE).select("doc_id", F.col("lang").alias("known"))
-    rows = documents.select("doc_id", "text").filter("text <> ''").join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]).collect()
+    few = labels.filter("lang is not null").withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= DOCS_PER_LANGUAGE).select("doc_id", F.col("lang").alias("known"), "rank")
+    texts = documents.select("doc_id", F.substring("text", 1, SAMPLE_BYTES // 32).alias("text")).filter("text <> ''")  # a letter has up to four bytes
+    held = texts.join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"])
+    total = F.sum(F.octet_length("text")).over(Window.partitionBy("known").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
+    rows = held.withColumn("total", total).filter(F.col("total") <= SAMPLE_BYTES).select("doc_id", "known", "text").collect()
     out: dict[str, list[str]] = defaultdict(list)
     for r in sorted(rows, key=lambda r: r["doc_id"]):
         out[r["known"]].append(r["text"])
