@@ -14,7 +14,8 @@ LLM = {
     "p7_decoded": tokens.p7_decoded,
     "p8_packed": packing.p8_packed,
     "p8_fill": packing.p8_fill,
+    "p8_checked": packing.p8_checked,
     "p9_found": langid.p9_found,
     "p9_passages": langid.p9_passages,
 }
-LLM_SQL = {**spans.SQL, **components.SQL, **canonical.SQL, **tokens.SQL}
+LLM_SQL = {**spans.SQL, **components.SQL, **canonical.SQL, **tokens.SQL, **packing.SQL}
