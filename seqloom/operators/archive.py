@@ -1,11 +1,13 @@
 """Consolidation of many tiny files into indexed archive containers.
 
 Small files are packed into large blocks that keep the original bytes; an index beside them holds path, block,
-offset, length and SHA-256 of every file. A block is one row with its bytes and the index of what it holds, so that
-blocks are read in parallel and a single file is found through the index without reading other blocks.
+offset, length and SHA-256 of every file, and the archive file its block lies in. A block is one row with its bytes and
+the index of what it holds, and a row group of its own, so that blocks are read in parallel and a single file is found
+through the index without reading other archive files. Archive files hold FILE_BLOCKS blocks at most; few files of less
+than a block are made, as tasks with less are joined before they pack.
 
 Defined results: listings whose resolved paths agree are one file, of which the listing with the latest mtime, then
-the largest file_id, counts; a null path is no file; a null text is an empty file, as is an empty one (kept in the
+the largest file_id, counts (of several texts of that listing the largest); a null path is no file; a null text is an empty file, as is an empty one (kept in the
 index with length 0); rows delivered twice are one listing; a file larger than a block gets a block of its own;
 an empty listing gives an empty archive. Other columns of the listing are ignored.
 """
@@ -19,9 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table, written
+from ..session import new_path, table, written
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+FILE_BLOCKS = 16
+#: archive files that a lookup names one by one; a lookup in more reads them all
+LOOKUP_FILES = 10_000
 INDEX_TYPE = "array<struct<path:string,file_id:bigint,mtime:timestamp_ntz,offset:bigint,length:bigint,sha256:string>>"
 BLOCK_SCHEMA = f"block_id string, payload binary, n_files int, block_bytes bigint, entries {INDEX_TYPE}"
 
@@ -44,16 +49,20 @@ def resolve_path(path: Column) -> Column:
     return F.when(path.rlike(r"//|(^|/)[.]{1,2}(/|$)|./$"), full).otherwise(path)
 
 
-def current_listings(listing: DataFrame) -> DataFrame:
-    """(path, file_id, mtime, file_text) of the listing that counts for each resolved path.
+def winning_listings(listing: DataFrame) -> DataFrame:
+    """(path, file_id, mtime, size) of the listing that counts for each resolved path; size is that of its text in bytes."""
+    narrow = listing.filter("path is not null").select(resolve_path(F.col("path")).alias("path"), F.struct("mtime", "file_id", F.coalesce(F.octet_length("file_text"), F.lit(0)).cast("bigint").alias("size")).alias("w"))
+    return narrow.groupBy("path").agg(F.max("w").alias("w")).select("path", "w.file_id", "w.mtime", "w.size")
 
-    Winners are chosen on narrow rows; the texts move once, by file_id, so that neither a path listed very often nor
-    a row delivered very often lands in one task: repeats are combined before the shuffle.
+
+def with_texts(winners: DataFrame, listing: DataFrame) -> DataFrame:
+    """(path, file_id, mtime, file_text) of winning listings.
+
+    The texts move once, by file_id, so that neither a path listed very often nor a row delivered very often lands in
+    one task: repeats are combined before the shuffle.
     """
-    narrow = listing.filter("path is not null").select(resolve_path(F.col("path")).alias("path"), "mtime", "file_id")
-    winners = narrow.groupBy("path").agg(F.max(F.struct("mtime", "file_id")).alias("w")).select("path", F.col("w.mtime").alias("mtime"), F.col("w.file_id").alias("file_id"))
-    texts = listing.groupBy("file_id").agg(F.first("file_text").alias("file_text"))
-    return winners.join(texts, "file_id").select("path", "file_id", "mtime", "file_text")
+    texts = listing.groupBy("file_id", "mtime").agg(F.max("file_text").alias("file_text"))
+    return winners.join(texts, ["file_id", "mtime"]).select("path", "file_id", "mtime", "file_text")
 
 
 def _packer(block_bytes: int):
@@ -91,15 +100,29 @@ def pack_archive(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return files.select("path", "file_id", F.col("mtime").cast("timestamp_ntz").alias("mtime"), content.alias("content")).mapInArrow(_packer(block_bytes), BLOCK_SCHEMA)
 
 
-def write_archive(listing: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, bytes_per_task: int = 128 << 20) -> None:
-    """Pack the current listings into an archive folder of well-sized files; refuses to overwrite."""
-    files = current_listings(listing)
-    size = listing.agg(F.sum(F.length("file_text"))).first()[0] or 0
-    pack_archive(files.repartition(max(1, -(-size // bytes_per_task)), "path"), block_bytes).write.mode("errorifexists").option("compression", "zstd").parquet(path)
+def _write_blocks(listing: DataFrame, path: str, block_bytes: int, file_blocks: int) -> None:
+    winners = written(winning_listings(listing), "winners")
+    size = winners.agg(F.sum("size")).first()[0] or 0
+    blocks = pack_archive(with_texts(winners, listing).coalesce(max(1, -(-size // block_bytes))), block_bytes)
+    # a block is a row group, so that a lookup skips the others of its file
+    layout = {"compression": "zstd", "maxRecordsPerFile": file_blocks, "parquet.block.row.count.limit": 1}
+    blocks.write.mode("errorifexists").options(**layout).parquet(path)
+
+
+def write_archive(listing: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, file_blocks: int = FILE_BLOCKS) -> None:
+    """Pack the current listings into `blocks` of an archive folder and write its `index`, sorted by path; refuses to overwrite."""
+    _write_blocks(listing, f"{path}/blocks", block_bytes, file_blocks)
+    blocks = read_archive(listing.sparkSession, path).select("block_id", "entries", F.col("_metadata.file_path").alias("file"))
+    entries = blocks.select("block_id", "file", F.explode("entries").alias("e")).select("e.path", "e.file_id", "e.mtime", "file", "block_id", "e.offset", "e.length", "e.sha256")
+    entries.repartitionByRange("path").sortWithinPartitions("path").write.mode("errorifexists").option("compression", "zstd").parquet(f"{path}/index")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BLOCK_SCHEMA).parquet(path)
+    return spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("path string, file_id bigint, mtime timestamp_ntz, file string, block_id string, offset bigint, length bigint, sha256 string").parquet(f"{path}/index")
 
 
 def archive_index(blocks: DataFrame) -> DataFrame:
@@ -118,16 +141,27 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, bytes]]
                 yield e, content
 
 
-def extract(blocks: DataFrame, paths: DataFrame | None = None) -> DataFrame:
-    """(path, file_id, content) of all files, or of those whose path is in paths; every checksum is verified.
+def lookup(spark: SparkSession, path: str, paths: DataFrame) -> DataFrame:
+    """(path, file_id, content) of the archived files whose path is in paths, every checksum verified.
 
-    A lookup joins the index with the wanted paths first, so only blocks that hold one are read into Python.
+    The index tells which archive files hold them, and only these are read; of these, blocks that hold none are left out
+    by their block_id. Paths that are not archived give no row.
     """
+    wanted = written(read_index(spark, path).join(paths.select("path").filter("path is not null").distinct(), "path", "left_semi"), "wanted")
+    files = [r["file"] for r in wanted.select("file").distinct().limit(LOOKUP_FILES + 1).collect()]
+    if not files:
+        return extract(read_archive(spark, path).limit(0))
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(*files) if len(files) <= LOOKUP_FILES else read_archive(spark, path)
+    ids = [r["block_id"] for r in wanted.select("block_id").distinct().limit(LOOKUP_FILES + 1).collect()]
+    if len(ids) <= LOOKUP_FILES:
+        blocks = blocks.filter(F.col("block_id").isin(ids))
+    entries = wanted.groupBy("block_id").agg(F.collect_list(F.struct("path", "file_id", "mtime", "offset", "length", "sha256")).alias("entries"))  # bounded by a block
+    return extract(blocks.select("block_id", "payload").join(entries, "block_id"))
+
+
+def extract(blocks: DataFrame) -> DataFrame:
+    """(path, file_id, content) of all files in the entries of blocks (payload, entries); every checksum is verified."""
     picked = blocks.select("payload", "entries")
-    if paths is not None:
-        wanted = archive_index(blocks).join(paths.select("path").distinct(), "path", "left_semi")
-        wanted = wanted.groupBy("block_id").agg(F.collect_list(F.struct("path", "file_id", "mtime", "offset", "length", "sha256")).alias("entries"))
-        picked = blocks.select("block_id", "payload").join(wanted, "block_id").select("payload", "entries")
     schema = pa.schema([("path", pa.string()), ("file_id", pa.int64()), ("content", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,8 +202,10 @@ def archived_records(blocks: DataFrame) -> DataFrame:
 
 
 def archive_of(listing: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The archive of a listing, written to the shared folder and read back."""
-    return written(pack_archive(current_listings(listing), block_bytes), "archive")
+    """The blocks of a listing's archive, written to the shared folder and read back."""
+    path = new_path(listing.sparkSession, "archive")
+    _write_blocks(listing, f"{path}/blocks", block_bytes, FILE_BLOCKS)
+    return read_archive(listing.sparkSession, path)
 
 
 def assembly_files(sag: DataFrame, index: DataFrame) -> DataFrame:
@@ -194,3 +230,11 @@ def p1_index(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_assemblies(spark: SparkSession, folder: str) -> DataFrame:
     return assembly_files(table(spark, folder, "sag"), archive_index(archive_of(table(spark, folder, "fasta_evidence"))))
+
+
+def p1_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, file_id, n_bytes, content_sha256) of the archived files that are the assembly of a deleted SAG, read from a written archive."""
+    at = new_path(spark, "archive")
+    write_archive(table(spark, folder, "fasta_evidence"), at)
+    gone = table(spark, folder, "sag").filter("deleted_at is not null and assembly is not null").select(resolve_path(F.col("assembly")).alias("path"))
+    return lookup(spark, at, gone).select("path", "file_id", F.octet_length("content").cast("bigint").alias("n_bytes"), F.sha2("content", 256).alias("content_sha256"))

@@ -65,13 +65,14 @@ def species_key(species: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(species, r"^\s+|\s+$", ""), r"[\s_]+", "_"))
 
 
-def species_results(annotations: DataFrame) -> DataFrame:
-    """(species, n_rows, n_sags, first_at, last_at): delivered rows and distinct SAGs (estimate) of each species."""
-    return tree_aggregate(
-        annotations,
-        {"species": species_key(F.col("species"))},
-        {"n_rows": ("count", None), "n_sags": ("distinct", F.regexp_replace("sag_id", r"^\s+|\s+$", "")), "first_at": ("min", F.col("annotated_at")), "last_at": ("max", F.col("annotated_at"))},
-    )
+def species_sags(annotations: DataFrame) -> DataFrame:
+    """(species, n_rows, n_sags, n_sags_estimate): delivered rows and different SAGs of each species, exactly and by sketch.
+
+    The rows are first aggregated by species and SAG, which splits a hot species, and these results by species.
+    """
+    pairs = {"species": species_key(F.col("species")), "sag": F.regexp_replace("sag_id", r"^\s+|\s+$", "")}
+    each = written(tree_aggregate(annotations, pairs, {"n": ("count", None)}), "pairs")
+    return tree_aggregate(each, {"species": F.col("species")}, {"n_rows": ("sum", F.col("n")), "n_sags": ("count", F.col("sag")), "n_sags_estimate": ("distinct", F.col("sag"))})
 
 
 def bin_shares(bins: DataFrame) -> DataFrame:
@@ -103,3 +104,21 @@ def p5_found(spark, folder: str) -> DataFrame:
 def p5_species(spark, folder: str) -> DataFrame:
     per = tree_aggregate(table(spark, folder, "annotations"), {"species": species_key(F.col("species"))}, {"n_rows": ("count", None), "first_at": ("min", F.col("annotated_at")), "last_at": ("max", F.col("annotated_at"))})
     return per.filter("species is not null")
+
+
+def p5_bins(spark, folder: str) -> DataFrame:
+    """(source_table, bin_id, declared, n_rows, total, n_members): delivered rows and different members of each bin, and what its source declares."""
+    bins = table(spark, folder, "bin_record")
+    by = {"source_table": F.col("source_table"), "bin_id": F.col("bin_id")}
+    rows = tree_aggregate(bins, by, {"n_rows": ("count", None)})
+    members = bins.select("source_table", "bin_id", F.explode("members").alias("member")).filter("member is not null")
+    each = tree_aggregate(members, by | {"member": F.col("member")}, {"n": ("count", None)})
+    counted = tree_aggregate(each, by, {"n_members": ("count", None)})
+    out = bin_shares(bins).join(rows, ["source_table", "bin_id"]).join(counted, ["source_table", "bin_id"], "left")
+    return out.select("source_table", "bin_id", "declared", "n_rows", "total", F.coalesce("n_members", F.lit(0)).alias("n_members"))
+
+
+def p5_sags(spark, folder: str) -> DataFrame:
+    """(species, n_rows, n_sags, estimate_close): the last says whether the sketch's number is within 10 percent, and two, of the exact one."""
+    per = species_sags(table(spark, folder, "annotations")).filter("species is not null")
+    return per.select("species", "n_rows", "n_sags", (F.abs(F.col("n_sags_estimate") - F.col("n_sags")) <= 0.1 * F.col("n_sags") + 2).alias("estimate_close"))

@@ -21,6 +21,15 @@ held AS (SELECT assembly, count(*) AS n_files, CAST(sum(length) AS BIGINT) AS n_
 sags AS (SELECT DISTINCT sag_id, {_RESOLVED} AS assembly FROM (SELECT id AS sag_id, assembly AS path FROM sag WHERE id IS NOT NULL AND assembly IS NOT NULL))
 SELECT sag_id, assembly, coalesce(n_files, 0) AS n_files, coalesce(n_bytes, 0) AS n_bytes FROM sags LEFT JOIN held USING (assembly)"""
 
+P1_LOOKUP = f"""WITH {_CURRENT}, gone AS (SELECT DISTINCT {_RESOLVED} AS path FROM (SELECT assembly AS path FROM sag WHERE deleted_at IS NOT NULL AND assembly IS NOT NULL))
+SELECT path, file_id, CAST(strlen(file_text) AS BIGINT) AS n_bytes, sha256(file_text) AS content_sha256 FROM current SEMI JOIN gone USING (path)"""
+
+P5_BINS = """WITH b AS (SELECT source_table, bin_id, max(coalesce(declared_sags, 0))::BIGINT AS declared, count(*) AS n_rows FROM bin_record GROUP BY 1, 2),
+m AS (SELECT source_table, bin_id, count(DISTINCT x) AS n_members FROM (SELECT source_table, bin_id, unnest(members) AS x FROM bin_record) GROUP BY 1, 2)
+SELECT b.*, sum(declared) OVER (PARTITION BY source_table)::BIGINT AS total, coalesce(n_members, 0) AS n_members FROM b LEFT JOIN m USING (source_table, bin_id)"""
+
+P5_SAGS = f"""SELECT {_SPECIES} AS species, count(*) AS n_rows, count(DISTINCT regexp_replace(sag_id, '^\\s+|\\s+$', '', 'g')) AS n_sags, true AS estimate_close FROM annotations WHERE species IS NOT NULL GROUP BY 1"""
+
 P5_FOUND = f"""WITH s AS (SELECT {_SPECIES} AS k, count(*) AS n FROM annotations GROUP BY 1),
 b AS (SELECT source_table, bin_id, max(coalesce(declared_sags, 0)) AS d FROM bin_record GROUP BY 1, 2),
 t AS (SELECT *, sum(d) OVER (PARTITION BY source_table) AS total FROM b)
@@ -41,4 +50,4 @@ SELECT DISTINCT g.in_table, strftime(g.t, '%Y-%m') AS month_key, g.id AS sag_id,
     CASE WHEN k.id IS NULL THEN 'missing' WHEN k.first_at IS NULL OR g.t < k.first_at THEN 'late' ELSE 'deleted' END AS reason
 FROM g LEFT JOIN k ON g.id = k.id LEFT JOIN there h ON h.in_table = g.in_table AND h.id = g.id AND h.t = g.t WHERE h.id IS NULL"""
 
-GENERAL_SQL = {"p1_found": P1_FOUND, "p1_index": P1_INDEX, "p1_assemblies": P1_ASSEMBLIES, "p5_found": P5_FOUND, "p5_species": P5_SPECIES, "p6_found": P6_FOUND}
+GENERAL_SQL = {"p1_found": P1_FOUND, "p1_index": P1_INDEX, "p1_assemblies": P1_ASSEMBLIES, "p1_lookup": P1_LOOKUP, "p5_found": P5_FOUND, "p5_bins": P5_BINS, "p5_sags": P5_SAGS, "p5_species": P5_SPECIES, "p6_found": P6_FOUND}

@@ -60,6 +60,11 @@ def _drop(spark: SparkSession, folder: str) -> None:
         pass
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has been written to."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df to the shared folder and read it back.
 
@@ -67,7 +72,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     the columns they need. A lost executor costs nothing, as no block lives on it alone.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
