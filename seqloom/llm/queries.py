@@ -6,6 +6,7 @@ LLM = {
     "p2_found": spans.p2_found,
     "p2_shares": spans.p2_shares,
     "p2_passages": spans.p2_passages,
+    "p2_occurrences": spans.p2_occurrences,
     "p3_found": components.p3_found,
     "p3_sizes": components.p3_sizes,
     "p4_found": canonical.p4_found,

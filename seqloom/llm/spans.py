@@ -2,9 +2,9 @@
 
 Seeds are window minimizers: of every stretch of `span` letters at least one k-mer is taken, and which one depends on
 the stretch alone, so two records that share a stretch share a seed at the same place in it. Records meet by joining
-equal seeds; the matches of a pair of records are gathered by diagonal, chained in order with gap costs through a
-Fenwick tree, and the chains aligned: exactly along their diagonals for the shared spans, and across the gaps for
-fuzzy passages.
+equal seeds; the matches of a pair of records are gathered by diagonal into segments, chained in order with gap costs
+through a Fenwick tree, and the chains aligned: along the segments to the ends of their exact runs for the shared spans,
+and across the gaps and beyond the ends for fuzzy passages, for which seeds are taken more densely.
 
 A seed with more than MAX_OCCURRENCES places would give too many pairs. Around its places the exact stretches of
 `span` letters take the seed's part: each distinct stretch links every record that holds it to one record that does,
@@ -35,8 +35,18 @@ K = 22
 MAX_OCCURRENCES = 12
 #: places of a frequent seed that one group holds where all pairs are asked for
 PLACES = 256
+#: seeds of fuzzy passages: their letters, and the stretch of which each holds one
+FUZZY_K, FUZZY_STRETCH = 20, 28
+#: a fuzzy passage has at least SPAN letters on the longer side, of which at least this share is kept in order
+LEAST_EQUAL = 0.8
+#: an end is extended while matches (1) and mismatches (-2) stay this close to the best sum so far
+DROP = 20
+#: letters of one side that an end leaves out at once, at most
+SHIFT = 4
 MAX_GAP = 500
 GAP_COST = 0.05
+#: parts in which the spans of one sequence are merged before they come together
+MERGE_PARTS = 32
 #: letters seeded at once; the place within this many letters shares a word with the seed's rank
 PART = 1 << 20
 _PLACE = np.uint64((1 << 22) - 1)
@@ -143,10 +153,10 @@ def _seeded(k: int, span: int):
     return run
 
 
-def chain_segments(segments: list[tuple[int, int, int, int]], max_gap: int = MAX_GAP, gap_cost: float = GAP_COST) -> list[list[int]]:
+def chain_segments(segments: list[tuple[int, int, int, int]], max_gap: int = MAX_GAP, gap_cost: float = GAP_COST, weights: list[int] | None = None) -> list[list[int]]:
     """Chains of segments (x0, x1, y0, y1) that follow each other in both records, best first; each segment is in one.
 
-    A segment scores its length; a link costs gap_cost a letter skipped in either record. Segments are entered into a
+    A segment scores its weight, which is its length where none is given; a link costs gap_cost a letter skipped in either record. Segments are entered into a
     Fenwick tree of prefix maxima by their end in y once their end in x is passed.
     """
     n = len(segments)
@@ -176,7 +186,7 @@ def chain_segments(segments: list[tuple[int, int, int, int]], max_gap: int = MAX
         while r:
             best = max(best, tree[r])
             r -= r & -r
-        score[i] = float(x1 - x0)
+        score[i] = float(weights[i] if weights else x1 - x0)
         if best[1] >= 0:
             j, gain = best[1], best[0] - gap_cost * (x0 + y0)
             if gain > 0 and max(x0 - segments[j][1], y0 - segments[j][3]) <= max_gap:
@@ -194,15 +204,86 @@ def chain_segments(segments: list[tuple[int, int, int, int]], max_gap: int = MAX
     return chains
 
 
-def exact_runs(a: np.ndarray, b: np.ndarray, diagonal: int, span: int) -> list[tuple[int, int]]:
-    """Maximal runs of at least span equal letters of a[x] and b[x + diagonal], as (start, end) in a."""
-    lo, hi = max(0, -diagonal), min(len(a), len(b) - diagonal)
-    if hi - lo < span:
-        return []
-    differ = np.flatnonzero(a[lo:hi] != b[lo + diagonal : hi + diagonal])
-    edges = np.concatenate(([-1], differ, [hi - lo]))
-    long = np.flatnonzero(np.diff(edges) > span)
-    return [(lo + int(edges[i]) + 1, lo + int(edges[i + 1])) for i in long]
+def chains_of(matches: list[dict], near: int) -> list[list[tuple[int, int, int, int]]]:
+    """Chains of segments (x0, x1, y0, y1) of matches (d, x0, last, x1), which are joined along a diagonal d where the next begins at most `near` after the last.
+
+    Segments are chained by the places at which their seeds begin, since an exact run may by chance go on for some letters
+    beyond a change of diagonal, so that the segments of a chain may overlap by less than a seed.
+    """
+    out: list[list[int]] = []
+    for m in sorted(matches, key=lambda m: (m["d"], m["x0"])):
+        if out and out[-1][0] == m["d"] and m["x0"] - out[-1][2] <= near:
+            out[-1][2:] = m["last"], max(out[-1][3], m["x1"])
+        else:
+            out.append([m["d"], m["x0"], m["last"], m["x1"]])
+    chains = chain_segments([(x0, last + 1, x0 + d, last + 1 + d) for d, x0, last, _ in out], weights=[x1 - x0 for _, x0, _, x1 in out])
+    return [[(x0, x1, x0 + d, x1 + d) for d, x0, _, x1 in (out[i] for i in chain)] for chain in chains]
+
+
+def equal_ahead(a: np.ndarray, b: np.ndarray, x: int, y: int, step: int) -> int:
+    """How many letters of a from x on and of b from y on are equal; with step -1 backwards from the letters before them."""
+    n = min(len(a) - x, len(b) - y) if step > 0 else min(x, y)
+    at, width = 0, 64
+    while at < n:
+        k = min(width, n - at)
+        u, v = (a[x + at : x + at + k], b[y + at : y + at + k]) if step > 0 else (a[x - at - k : x - at][::-1], b[y - at - k : y - at][::-1])
+        differ = u != v
+        if differ.any():
+            return at + int(differ.argmax())
+        at, width = at + k, 4 * width
+    return n
+
+
+def aligned_runs(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int, int, int]], span: int) -> list[tuple[int, int, int]]:
+    """Maximal runs (start, end, diagonal) of at least span equal letters along a chain.
+
+    Every segment is followed to the ends of the exact runs at its ends. What the segment before has covered of the same
+    diagonal is not compared again.
+    """
+    out = []
+    reached: dict[int, int] = {}
+    for x0, x1, y0, y1 in chain:
+        d = y0 - x0
+        if reached.get(d, -1) >= x1:
+            continue
+        lo, hi = x0 - equal_ahead(a, b, x0, y0, -1), x1 + equal_ahead(a, b, x1, y1, 1)
+        edges = np.concatenate(([-1], np.flatnonzero(a[lo:hi] != b[lo + d : hi + d]), [hi - lo]))
+        long = np.flatnonzero(np.diff(edges) > span)
+        out += [(lo + int(edges[i]) + 1, lo + int(edges[i + 1]), d) for i in long]
+        reached[d] = hi
+    return out
+
+
+def straight(a: np.ndarray, b: np.ndarray, x: int, y: int, step: int) -> tuple[int, int, int]:
+    """(score, letters, of which equal) of the best run without gaps from (x, y) on, or back with step -1."""
+    n = min(MAX_GAP, *((len(a) - x, len(b) - y) if step > 0 else (x, y)))
+    if n <= 0:
+        return 0, 0, 0
+    same = a[x : x + n] == b[y : y + n] if step > 0 else a[x - n : x][::-1] == b[y - n : y][::-1]
+    score = np.cumsum(np.where(same, 1, -2))
+    ended = np.flatnonzero(score < np.maximum.accumulate(np.maximum(score, 0)) - DROP)
+    score = score[: ended[0]] if len(ended) else score
+    if not len(score) or score.max() <= 0:
+        return 0, 0, 0
+    k = int(score.argmax()) + 1
+    return int(score[k - 1]), k, int(same[:k].sum())
+
+
+def extension(a: np.ndarray, b: np.ndarray, x: int, y: int, step: int) -> tuple[int, int, int]:
+    """(letters of a, letters of b, of which equal) by which a passage goes on from (x, y), or back with step -1.
+
+    Where a run without gaps ends, up to SHIFT letters of either side may be left out if the run beyond is worth more.
+    """
+    at, equal, shifts = (0, 0), 0, [(0, 0)]
+    while True:
+        tried = [(straight(a, b, x + step * (at[0] + s), y + step * (at[1] + t), step), s, t) for s, t in shifts if 0 <= x + step * (at[0] + s) <= len(a) and 0 <= y + step * (at[1] + t) <= len(b)]
+        (score, n, same), s, t = max(tried, key=lambda r: r[0][0] - 3 * (r[1] + r[2]), default=((0, 0, 0), 0, 0))
+        if score - 3 * (s + t) <= 0:
+            if len(shifts) > 1:
+                return *at, equal
+            n = same = 0
+        at, equal = (at[0] + s + n, at[1] + t + n) if n else at, equal + same
+        shifts = [(s, 0) for s in range(1, SHIFT + 1)] + [(0, t) for t in range(1, SHIFT + 1)]
 
 
 def common_letters(a: np.ndarray, b: np.ndarray) -> int:
@@ -215,33 +296,48 @@ def common_letters(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def _aligned(span: int, k: int, fuzzy: bool):
+def aligned_passage(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int, int, int]]) -> tuple[int, ...]:
+    """(start and end in a, start and end in b, number of segments, letters kept in order) of an aligned chain."""
+    placed = chain[:1]
+    for x0, x1, y0, y1 in chain[1:]:
+        over = max(0, placed[-1][1] - x0, placed[-1][3] - y0)  # cut from the later of two that overlap
+        placed.append((x0 + over, x1, y0 + over, y1))
+    chain = placed
+    equal = sum(int((a[s[0] : s[1]] == b[s[2] : s[3]]).sum()) for s in chain)
+    equal += sum(common_letters(a[s[1] : t[0]], b[s[3] : t[2]]) for s, t in zip(chain, chain[1:]))
+    back_a, back_b, same_back = extension(a, b, chain[0][0], chain[0][2], -1)
+    on_a, on_b, same_on = extension(a, b, chain[-1][1], chain[-1][3], 1)
+    return chain[0][0] - back_a, chain[-1][1] + on_a, chain[0][2] - back_b, chain[-1][3] + on_b, len(chain), equal + same_back + same_on
+
+
+def _aligned(span: int, near: int, least_equal: float | None = None):
+    """Exact runs of span letters of each pair of sequences, or with least_equal its passages."""
+    fuzzy = least_equal is not None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            lo, hi, segments, packed_lo, packed_hi = batch.columns
+            lo, hi, matches, packed_lo, packed_hi = batch.columns
             spans: set[tuple[int, int, int]] = set()
             passages = []
             own = None
-            lists = segments.to_pylist()
+            lists = matches.to_pylist()
             for i, (p, q) in enumerate(zip(lo.to_pylist(), hi.to_pylist())):
                 if own != p:  # rows of one record mostly come together
                     own, a = p, np.frombuffer(unpack(packed_lo[i].as_py()), np.uint8)
                 b = np.frombuffer(unpack(packed_hi[i].as_py()), np.uint8)
-                found = [(s["x0"], s["x1"], s["x0"] + s["d"], s["x1"] + s["d"]) for s in lists[i]]
-                for chain in chain_segments(found):
+                for chained in chains_of(lists[i], near):
                     if fuzzy:
-                        parts = [found[j] for j in chain]
-                        hits = sum(int((a[s[0] : s[1]] == b[s[2] : s[3]]).sum()) for s in parts)
-                        hits += sum(common_letters(a[s[1] : t[0]], b[s[3] : t[2]]) for s, t in zip(parts, parts[1:]))
-                        passages.append((p, q, parts[0][0], parts[-1][1], parts[0][2], parts[-1][3], len(parts), hits))
+                        passage = aligned_passage(a, b, chained)
+                        letters = max(passage[1] - passage[0], passage[3] - passage[2])
+                        if letters >= span and passage[5] >= least_equal * letters:
+                            passages.append((p, q, *passage))
                         continue
-                    for d in {found[j][2] - found[j][0] for j in chain}:
-                        for s, e in exact_runs(a, b, d, span):
-                            spans.add((p, s, e))
-                            spans.add((q, s + d, e + d))
+                    for s, e, d in aligned_runs(a, b, chained, span):
+                        spans.add((p, s, e))
+                        spans.add((q, s + d, e + d))
             if fuzzy:
                 yield pa.RecordBatch.from_pylist([dict(zip(_PASSAGE, r)) for r in passages], schema=pa.schema([(c, pa.int64() if c in ("a", "b") else pa.int32()) for c in _PASSAGE]))
             else:
@@ -300,12 +396,19 @@ def seed_links(ours: DataFrame, theirs: DataFrame, k: int, by: list[str]) -> Dat
     return left.join(right, by).filter("lo < hi").select("lo", "hi", "x", (F.col("y") - F.col("x")).alias("d"), F.lit(k).alias("len"))
 
 
-def with_sequences(pairs: DataFrame, seqs: DataFrame) -> DataFrame:
-    return pairs.join(seqs.toDF("lo", "packed_lo"), "lo").join(seqs.toDF("hi", "packed_hi"), "hi").select("lo", "hi", "segments", "packed_lo", "packed_hi")
+def gathered(links: DataFrame, seqs: DataFrame, near: int) -> DataFrame:
+    """(lo, hi, matches, packed_lo, packed_hi) of links (lo, hi, x, d, len): a pair's matches by diagonal and stretch of near letters.
+
+    Matches of one stretch are never more than `near` apart, so they are combined before the shuffle.
+    """
+    stretch = F.floor(F.col("x") / near)
+    parts = links.groupBy("lo", "hi", "d", stretch.alias("stretch")).agg(F.min("x").alias("x0"), F.max("x").alias("last"), F.max(F.col("x") + F.col("len")).alias("x1"))
+    pairs = parts.groupBy("lo", "hi").agg(F.collect_list(F.struct("d", "x0", "last", "x1")).alias("matches"))  # bounded by the letters of the two
+    return pairs.join(seqs.toDF("lo", "packed_lo"), "lo").join(seqs.toDF("hi", "packed_hi"), "hi").select("lo", "hi", "matches", "packed_lo", "packed_hi")
 
 
 def matched_pairs(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
-    """(lo, hi, segments, packed_lo, packed_hi): pairs of different sequences with their matches by diagonal.
+    """(lo, hi, matches, packed_lo, packed_hi): pairs of different sequences with their matches by diagonal.
 
     Enough to tell of each position whether it is shared; of the pairs that frequent stretches make it has some only.
     """
@@ -327,17 +430,14 @@ def matched_pairs(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
         F.when(forth, F.col("to.place") - F.col("place")).otherwise(F.col("place") - F.col("to.place")).alias("d"),
         F.lit(span).alias("len"),
     )
-    diagonals = links.unionByName(star).groupBy("lo", "hi", "d").agg(F.min("x").alias("x0"), F.max(F.col("x") + F.col("len")).alias("x1"))
-    pairs = diagonals.groupBy("lo", "hi").agg(F.collect_list(F.struct("d", "x0", "x1")).alias("segments"))
-    return with_sequences(pairs, seqs)
+    return gathered(links.unionByName(star), seqs, span - k + 1)
 
 
-def every_pair(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
-    """(lo, hi, segments, packed_lo, packed_hi): all pairs of different sequences that share a seed, however frequent it is.
+def every_pair(base: DataFrame, k: int, near: int, most: int) -> DataFrame:
+    """(lo, hi, matches, packed_lo, packed_hi): all pairs of different sequences that share a seed, however frequent it is.
 
     The places of a seed with more than `most` are dealt into groups of about PLACES, and every group meets every
-    group as a key of its own, so no task has all pairs of a seed. A segment ends where a diagonal's next match lies
-    further off than the seeds of one exact run can.
+    group as a key of its own, so no task has all pairs of a seed.
     """
     matched, seqs = shared_seeds(base)
     parts = written(matched.groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("seed", F.ceil(F.col("n") / PLACES).alias("parts")), "parts")
@@ -345,36 +445,39 @@ def every_pair(base: DataFrame, k: int, span: int, most: int) -> DataFrame:
     links = seed_links(rare, rare, k, ["seed"])
     dealt = matched.join(parts, "seed").withColumn("own", F.pmod(F.xxhash64("same", "place"), "parts")).withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     hot = seed_links(dealt.withColumnsRenamed({"own": "g", "met": "h"}), dealt.withColumnsRenamed({"met": "g", "own": "h"}), k, ["seed", "g", "h"])
-    # seeds of an exact run start at most span - k + 1 letters apart; what lies further apart is left to the chaining
-    along = Window.partitionBy("lo", "hi", "d").orderBy("x")
-    apart = F.coalesce(F.col("x") - F.lag("x").over(along) > span - k + 1, F.lit(False)).cast("int")
-    runs = links.unionByName(hot).withColumn("apart", apart).withColumn("run", F.sum("apart").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    diagonals = runs.groupBy("lo", "hi", "d", "run").agg(F.min("x").alias("x0"), F.max(F.col("x") + F.col("len")).alias("x1"))
-    return with_sequences(diagonals.groupBy("lo", "hi").agg(F.array_sort(F.collect_list(F.struct("d", "x0", "x1"))).alias("segments")), seqs)
+    return gathered(links.unionByName(hot), seqs, near)
+
+
+def merged_spans(spans: DataFrame, by: list[str]) -> DataFrame:
+    """(by, s, e): the union of spans (by, s, e) that overlap or touch, within the columns by."""
+    order = Window.partitionBy(*by).orderBy("s", "e")
+    spans = spans.withColumn("reach", F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    spans = spans.withColumn("run", F.sum(F.when(F.col("s") <= F.col("reach"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return spans.groupBy(*by, "run").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("run")
 
 
 def shared_spans(contig: DataFrame, span: int = SPAN, k: int = K, most: int = MAX_OCCURRENCES) -> DataFrame:
     """(contig_id, span_start, span_end): maximal runs of shared positions of every record."""
     base = seeded(contig, k, span)
-    found = matched_pairs(base, k, span, most).mapInArrow(_aligned(span, k, False), "same bigint, s int, e int")
+    found = matched_pairs(base, k, span, most).mapInArrow(_aligned(span, span - k + 1), "same bigint, s int, e int")
     members = base.select("same", "contig_id", "n").distinct()
     whole = members.groupBy("same").agg(F.min("contig_id").alias("one"), F.max("contig_id").alias("other"), F.first("n").alias("e")).filter("one <> other").select("same", F.lit(0).alias("s"), "e")
-    spans = found.unionByName(whole).distinct()
-    by = Window.partitionBy("same").orderBy("s", "e")
-    spans = spans.withColumn("reach", F.max("e").over(by.rowsBetween(Window.unboundedPreceding, -1)))
-    spans = spans.withColumn("run", F.sum(F.when(F.col("s") <= F.col("reach"), 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = spans.groupBy("same", "run").agg(F.min("s").alias("span_start"), F.max("e").alias("span_end"))
-    return members.join(runs, "same").select("contig_id", "span_start", "span_end")
+    # a sequence that very many link to has its spans merged in parts first; a part then has at most one per span letters
+    parts = merged_spans(found.unionByName(whole).distinct().withColumn("part", F.pmod(F.xxhash64("s", "e"), F.lit(MERGE_PARTS))), ["same", "part"])
+    runs = merged_spans(parts.drop("part"), ["same"])
+    return members.join(runs, "same").select("contig_id", F.col("s").alias("span_start"), F.col("e").alias("span_end"))
 
 
-def fuzzy_passages(contig: DataFrame, span: int = SPAN, k: int = K, most: int = MAX_OCCURRENCES) -> DataFrame:
+def fuzzy_passages(contig: DataFrame, span: int = SPAN, k: int = FUZZY_K, stretch: int = FUZZY_STRETCH, most: int = MAX_OCCURRENCES, least_equal: float = LEAST_EQUAL) -> DataFrame:
     """Aligned chains of pairs of different sequences: ends in both, number of segments and of equal letters.
 
-    Every pair that shares a seed has its passages, however many records hold the seed. a and b name sequences by the
-    smallest contig_id that holds them; copies are not expanded into pairs.
+    A passage has at least span letters, of which a share of least_equal is kept in order. Every pair that shares a seed is
+    aligned, however many records hold the seed. a and b name sequences by the smallest contig_id that holds them; copies
+    are not expanded into pairs.
     """
-    base = seeded(contig, k, span)
-    chains = every_pair(base, k, span, most).mapInArrow(_aligned(span, k, True), ", ".join(f"{c} {'bigint' if c in ('a', 'b') else 'int'}" for c in _PASSAGE))
+    base = seeded(contig, k, stretch)
+    near = max(stretch, SPAN) - k
+    chains = every_pair(base, k, near, most).mapInArrow(_aligned(span, near, least_equal), ", ".join(f"{c} {'bigint' if c in ('a', 'b') else 'int'}" for c in _PASSAGE))
     names = base.groupBy("same").agg(F.min("contig_id").alias("name"))
     named = chains.join(names.toDF("a", "contig_a"), "a").join(names.toDF("b", "contig_b"), "b")
     return named.select("contig_a", "contig_b", *_PASSAGE[2:])
@@ -396,6 +499,14 @@ def p2_passages(spark, folder: str) -> DataFrame:
     return fuzzy_passages(table(spark, folder, "contig"))
 
 
+def p2_occurrences(spark, folder: str) -> DataFrame:
+    """(contig_id, n_places, n_shared) of the sampled seed occurrences: places of each contig, and those whose 15 letters all lie in one shared span."""
+    occ = table(spark, folder, "occ").select("contig_id", "pos").filter("contig_id is not null and pos is not null").distinct()
+    spans = p2_found(spark, folder)
+    inside = occ.join(spans, (occ.contig_id == spans.contig_id) & (F.col("pos") >= F.col("span_start")) & (F.col("pos") + 15 <= F.col("span_end")), "left_semi").groupBy("contig_id").agg(F.count("*").alias("n_shared"))
+    return occ.groupBy("contig_id").agg(F.count("*").alias("n_places")).join(inside, "contig_id", "left").select("contig_id", "n_places", F.coalesce("n_shared", F.lit(0)).alias("n_shared"))
+
+
 _RUNS = """c AS (SELECT DISTINCT contig_id, upper(regexp_replace(seq, '[^A-Za-z]+', '', 'g')) AS s FROM contig WHERE seq IS NOT NULL),
 w AS (SELECT contig_id, p, substr(s, p + 1, 120) AS x FROM c, unnest(range(0, length(s) - 119)) AS u(p) WHERE length(s) >= 120),
 h AS (SELECT x FROM w GROUP BY x HAVING min(contig_id) <> max(contig_id)),
@@ -404,6 +515,8 @@ g AS (SELECT contig_id, p, sum(CASE WHEN p <= q + 120 THEN 0 ELSE 1 END) OVER (P
 found AS (SELECT contig_id, CAST(min(p) AS INTEGER) AS span_start, CAST(max(p) + 120 AS INTEGER) AS span_end FROM g GROUP BY contig_id, run)"""
 
 SQL = {
+    "p2_occurrences": f"""WITH {_RUNS}, o AS (SELECT DISTINCT contig_id, pos FROM occ WHERE contig_id IS NOT NULL AND pos IS NOT NULL)
+SELECT contig_id, count(*) AS n_places, count(*) FILTER (EXISTS (SELECT 1 FROM found f WHERE f.contig_id = o.contig_id AND pos >= span_start AND pos + 15 <= span_end)) AS n_shared FROM o GROUP BY 1""",
     "p2_found": f"WITH {_RUNS} SELECT * FROM found",
     "p2_shares": f"""WITH {_RUNS}, n AS (SELECT DISTINCT contig_id, CAST(coalesce(length(regexp_replace(seq, '[^A-Za-z]+', '', 'g')), 0) AS INTEGER) AS n_letters FROM contig)
 SELECT contig_id, n_letters, CAST(coalesce((SELECT sum(span_end - span_start) FROM found f WHERE f.contig_id = n.contig_id), 0) AS BIGINT) AS n_shared FROM n""",
