@@ -52,3 +52,20 @@ def test_sequences(spark):
 def test_empty(spark):
     assert canonical.copies_of(canonical.sequence_tuples(spark.createDataFrame([], "contig_id bigint, seq string"))).collect() == []
     assert canonical.copies_of(canonical.receipt_tuples(spark.createDataFrame([], "stats_id bigint, receipt string"))).collect() == []
+
+
+def test_unknown_fields_count_and_their_order_does_not(spark):
+    data = [(1, "sag=x; bases=7; tool_version=2"), (2, "Tool-Version: 2\nBASES: 7\nSAG: x"), (3, '{"bases": 7, "sag": "X", "tool.version": "2"}'), (4, "sag=x; bases=7; tool_version=3"), (5, "sag=x; bases=7")]
+    df = spark.createDataFrame(data, "stats_id bigint, receipt string")
+    assert {tuple(r) for r in canonical.copies_of(canonical.receipt_tuples(df)).collect()} == {(1, 2), (1, 3)}
+
+
+def test_numbers_keep_sign_and_decimal_point(spark):
+    same = [["1.5", "'1.5'", "+1.50", " 1.5,"], ["15", "15.0", "15."], ["-3", '"-3"'], ["3"], ["1234", "1,234", "1.234"], ["1234.5", "1,234.5"], ["0.5", ".5"], ["A-1.5", "a 15", "a_1,5"], ["-1234", "-1,234"]]
+    rows = spark.createDataFrame([(i, v) for i, values in enumerate(same) for v in values], "i int, v string").select("i", canonical.bare(F.col("v")).alias("b")).collect()
+    assert len({r.b for r in rows}) == len({(r.i, r.b) for r in rows}) == len(same)
+
+
+def test_every_record_is_counted(spark):
+    df = spark.createDataFrame([(3, "ac"), (1, "AC"), (2, "gg"), (2, "gg"), (4, None)], "contig_id bigint, seq string")
+    assert sorted(map(tuple, canonical.kept(canonical.sequence_tuples(df)).collect())) == [(1, 2), (2, 1)]
