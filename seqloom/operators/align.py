@@ -1,8 +1,9 @@
 """Identity and aligned fraction of pairs of entities, from seed votes to banded alignments.
 
-All pairs are seeded by one join on the seed; votes are gathered by diagonal and strand in that aggregation, so a
-pair's kernel only sees its few voted spans. The kernel aligns windows along the spans in a band and lets the better
-windows claim positions first, each position once on either side.
+Given pairs are voted on in the kernel, which has both sequences: their words are sorted once, met, and counted by
+diagonal and strand. Where pairs are not given, a join on the word finds every pair that has a voted diagonal, which is
+every pair whose estimate is not 0. The kernel aligns windows along the voted spans in a band and lets the better windows
+claim positions first, each position once on either side.
 
 Defined results: letters other than A, C, G, T are no matches and not callable; an entity without callable letters has
 fraction 0; a pair without an accepted window has identity 0; pairs with unknown entities are left out.
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import seqfuncs as fn
-from ..session import spread
+from ..session import spread, written
 from . import kmers
 
 # fixed values: scores of a match, a mismatch and a gap
@@ -123,15 +124,62 @@ def _claimed(query: list[bytes], ref: list[bytes], windows: list[tuple], min_win
     return (100.0 * matches / aligned if aligned else 0.0, *(100.0 * aligned / c if c else 0.0 for c in callable_), aligned, matches)
 
 
-def seed_spans(pairs: DataFrame, sequences: DataFrame, k: int, max_occ: int, min_seed_hits: int) -> DataFrame:
-    """(a, b, spans): voted diagonals of pairs (a reference, b query); sequences (entity, part, seq)."""
-    forward = kmers.strand_rows(sequences, k, False)
-    masked = forward.join(forward.groupBy("entity", "word").count().filter(F.col("count") > max_occ), ["entity", "word"], "left_anti")
-    refs = masked.select(F.col("entity").alias("a"), F.col("part").alias("ri"), F.col("pos").alias("rp"), "word")
-    asked = kmers.strand_rows(sequences, k, True).select(F.col("entity").alias("b"), F.col("part").alias("qi"), F.col("pos").alias("qp"), "word", "rev")
-    votes = pairs.join(refs, "a").join(asked, ["b", "word"]).groupBy("a", "b", "qi", "ri", (F.col("rp") - F.col("qp")).alias("d"), "rev")
-    spans = votes.agg(F.count("*").cast("int").alias("n"), F.min("qp").alias("low"), F.max("qp").alias("high")).filter(F.col("n") >= min_seed_hits)
-    return spans.groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("qi", "ri", "rev", "d", "n", "low", "high"))).alias("spans"))
+def sorted_words(parts: list[str], k: int, both: bool, max_occ: int | None = None) -> tuple[np.ndarray, ...]:
+    """(word, part, place, reverse) in the order of words, without those that occur more than max_occ times."""
+    part, pos, word, rev = kmers.strand_words(pa.array(parts, pa.string()), k, both)
+    order = np.argsort(word, kind="stable")
+    part, pos, word, rev = part[order], pos[order], word[order], rev[order]
+    if max_occ is not None and len(word):
+        _, at, n = np.unique(word, return_inverse=True, return_counts=True)
+        kept = n[at] <= max_occ
+        part, pos, word, rev = part[kept], pos[kept], word[kept], rev[kept]
+    return word, part, pos, rev
+
+
+def voted_spans(ref: tuple[np.ndarray, ...], query: tuple[np.ndarray, ...], min_seed_hits: int) -> list[dict]:
+    """Diagonals (qi, ri, rev, d, n, low, high) with enough equal words; ref and query are sorted_words."""
+    word, ri, rp, _ = ref
+    low, high = np.searchsorted(word, query[0], side="left"), np.searchsorted(word, query[0], side="right")
+    n = high - low
+    if not n.any():
+        return []
+    q = np.repeat(np.arange(len(n)), n)
+    r = np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+    qi, qp, rev, ri, d = query[1][q], query[2][q], query[3][q], ri[r], rp[r] - query[2][q]
+    order = np.lexsort((qp, d, rev, ri, qi))
+    qi, qp, rev, ri, d = qi[order], qp[order], rev[order], ri[order], d[order]
+    new = np.ones(len(qi), bool)
+    new[1:] = (qi[1:] != qi[:-1]) | (ri[1:] != ri[:-1]) | (rev[1:] != rev[:-1]) | (d[1:] != d[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(qi)) - 1
+    enough = last - first + 1 >= min_seed_hits
+    return [{"qi": int(qi[a]), "ri": int(ri[a]), "rev": bool(rev[a]), "d": int(d[a]), "n": int(b - a + 1), "low": int(qp[a]), "high": int(qp[b])} for a, b in zip(first[enough], last[enough])]
+
+
+def records_by_entity(records: DataFrame) -> DataFrame:
+    """(entity, g array<string>): callable sequences of records (entity, seq [, part]) in the order of part."""
+    if "part" not in records.columns:
+        records = records.withColumn("part", F.lit(0))
+    parts = records.select("entity", "part", fn.callable_bases(F.col("seq")).alias("seq")).filter("seq <> ''")
+    listed = parts.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("part", "seq"))).alias("g"))  # one entity's own records
+    return listed.select("entity", F.col("g.seq").alias("g"))
+
+
+def voted_pairs(queries: DataFrame, records: DataFrame, k: int = 15, max_occ: int = 64, min_seed_hits: int = 3) -> DataFrame:
+    """(a, b): every pair of an entity a of records and another entity b of queries that has a voted diagonal.
+
+    Without such a diagonal no window is aligned and the estimate is 0, so these are all pairs worth scoring. Votes are
+    combined on both sides of the shuffle; a word's places are bounded by max_occ in each a.
+    """
+    seqs = written(records_by_entity(records).select("entity", F.posexplode("g").alias("part", "seq")), "sequences")
+    asked = kmers.strand_rows(seqs.join(queries.select("entity").distinct(), "entity", "left_semi"), k, True)
+    forward = kmers.strand_rows(seqs, k, False).join(asked.select("word").distinct(), "word", "left_semi")
+    forward = written(forward, "words")
+    frequent = forward.groupBy("entity", "word").count().filter(F.col("count") > max_occ).select("entity", "word")
+    refs = forward.join(frequent, ["entity", "word"], "left_anti").select(F.col("entity").alias("a"), F.col("part").alias("ri"), F.col("pos").alias("rp"), "word")
+    met = asked.select(F.col("entity").alias("b"), F.col("part").alias("qi"), F.col("pos").alias("qp"), "word", "rev").join(refs, "word").filter("a <> b")
+    votes = met.groupBy("a", "b", "qi", "ri", (F.col("rp") - F.col("qp")).alias("d"), "rev").agg(F.count("*").alias("n"))
+    return votes.filter(F.col("n") >= min_seed_hits).select("a", "b").distinct()
 
 
 def pair_estimates(pairs: DataFrame, records: DataFrame, k: int = 15, window: int = 500, band: int = 128, min_window: int = 100, min_identity: float = 70.0, max_occ: int = 64, min_seed_hits: int = 3, min_af: float = 0.0) -> DataFrame:
@@ -139,24 +187,25 @@ def pair_estimates(pairs: DataFrame, records: DataFrame, k: int = 15, window: in
 
     A pair is kept if the larger of its fractions reaches min_af. Records of an entity are its parts, in the order of part.
     """
-    if "part" not in records.columns:
-        records = records.withColumn("part", F.lit(0))
     kind = records.schema["entity"].dataType.simpleString()
-    parts = records.select("entity", "part", fn.callable_bases(F.col("seq")).alias("seq")).filter("seq <> ''")
-    genomes = parts.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("part", "seq"))).alias("g"))  # one entity's own records
-    dense = genomes.select("entity", F.posexplode("g").alias("part", "r")).select("entity", "part", "r.seq")
-    spans = seed_spans(pairs.select("a", "b").distinct(), dense, k, max_occ, min_seed_hits)
-    known = pairs.select("a", "b").distinct().join(spans, ["a", "b"], "left")
-    held = known.join(genomes.select(F.col("entity").alias("a"), F.col("g.seq").alias("ref")), "a").join(genomes.select(F.col("entity").alias("b"), F.col("g.seq").alias("query")), "b")
+    genomes = written(records_by_entity(records), "genomes")
+    known = pairs.select("a", "b").distinct()
+    held = known.join(genomes.select(F.col("entity").alias("a"), F.col("g").alias("ref")), "a").join(genomes.select(F.col("entity").alias("b"), F.col("g").alias("query")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, words = None, None
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
-                a, b, spans_, ref, query = whole.slice(at, 64).columns
-                out = estimate_pairs([([s.encode() for s in q], [s.encode() for s in r], v or []) for v, r, q in zip(spans_.to_pylist(), ref.to_pylist(), query.to_pylist())], k, window, band, min_window, min_identity)
-                columns = list(zip(*out)) or [()] * 5
+                a, b, ref, query = whole.slice(at, 64).columns
+                work = []
+                for name, r, q in zip(a.to_pylist(), ref.to_pylist(), query.to_pylist()):
+                    if own != name:  # rows of one reference come together
+                        own, words = name, sorted_words(r, k, False, max_occ)
+                    work.append(([x.encode() for x in q], [x.encode() for x in r], voted_spans(words, sorted_words(q, k, True), min_seed_hits)))
+                columns = list(zip(*estimate_pairs(work, k, window, band, min_window, min_identity))) or [()] * 5
                 yield pa.RecordBatch.from_arrays([a, b, *(pa.array(c, pa.float64()) for c in columns[:3]), *(pa.array(c, pa.int64()) for c in columns[3:])], names=["ref", "query", "ani", "af_ref", "af_query", "aligned", "matches"])
 
-    # the kernel is far dearer than its rows are large, so they are spread by number and not by size
-    scored = held.select("a", "b", "spans", "ref", "query").repartition(4 * spread(pairs.sparkSession)).mapInArrow(run, f"ref {kind}, query {kind}, ani double, af_ref double, af_query double, aligned bigint, matches bigint")
+    # the kernel is far dearer than its rows are large, so they are spread by number; a reference with very many pairs is in several tasks
+    spread_out = held.select("a", "b", "ref", "query").repartition(4 * spread(pairs.sparkSession), "a", F.pmod(F.xxhash64("b"), F.lit(8))).sortWithinPartitions("a")
+    scored = spread_out.mapInArrow(run, f"ref {kind}, query {kind}, ani double, af_ref double, af_query double, aligned bigint, matches bigint")
     return scored.filter(F.greatest("af_ref", "af_query") + 1e-12 >= min_af)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seqfuncs as fn
+from .audit import global_rank
 
 
 def best_row(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
@@ -50,13 +51,13 @@ def repulsion_edges(evidence: DataFrame, min_markers: int = 3, below: float = 97
 def cluster_purity(membership: DataFrame, pairs: DataFrame, pure_from: float = 97.0, least: int = 10) -> DataFrame:
     """(cluster, size, ok, bad, purity, min_ani) of clusters (cluster, entity) with at least `least` members.
 
-    Pairs count where both ends are in the cluster; purity is null without any.
+    Pairs count where both ends are in the cluster; purity, rounded half to even, is null without any.
     """
     sizes = membership.groupBy("cluster").agg(F.count("*").alias("size")).filter(F.col("size") >= least)
-    inside = pairs.join(membership.toDF("ca", "a"), "a").join(membership.toDF("cb", "b"), "b").filter("ca = cb")
-    scored = inside.groupBy(F.col("ca").alias("cluster")).agg(F.count_if(F.col("ani") >= pure_from).alias("ok"), F.count_if(F.col("ani") < pure_from).alias("bad"), F.min("ani").alias("min_ani"))
+    inside = pairs.join(membership.select("cluster", F.col("entity").alias("a")), "a").join(membership.select("cluster", F.col("entity").alias("b")), ["b", "cluster"])
+    scored = inside.groupBy("cluster").agg(F.count_if(F.col("ani") >= pure_from).alias("ok"), F.count_if(F.col("ani") < pure_from).alias("bad"), F.min("ani").alias("min_ani"))
     out = sizes.join(scored, "cluster", "left").fillna(0, ["ok", "bad"])
-    return out.select("cluster", "size", "ok", "bad", F.when(F.col("ok") + F.col("bad") > 0, F.round(F.col("ok") / (F.col("ok") + F.col("bad")), 3)).alias("purity"), "min_ani")
+    return out.select("cluster", "size", "ok", "bad", F.when(F.col("ok") + F.col("bad") > 0, F.bround(F.col("ok") / (F.col("ok") + F.col("bad")), 3)).alias("purity"), "min_ani")
 
 
 def select_parameters(scores: DataFrame) -> DataFrame:
@@ -70,7 +71,6 @@ def name_clusters(membership: DataFrame, least: int = 10) -> DataFrame:
     A cluster's first member is its smallest, which orders clusters of equal size as their sorted members would.
     """
     sizes = membership.groupBy("cluster").agg(F.count("*").alias("cluster_size"), F.min("entity").alias("first")).filter(F.col("cluster_size") >= least)
-    # ranks over clusters, whose number is that of groups of ten or more and not of entities
-    ranked = sizes.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("cluster_size"), "first")))
-    named = ranked.select("cluster", F.format_string("G%04d", "rank").alias("name"), "cluster_size")
+    ranked = global_rank(sizes, F.desc("cluster_size"), F.asc("first"))
+    named = ranked.select("cluster", F.format_string("G%04d", F.col("rank") + 1).alias("name"), "cluster_size")
     return membership.join(named, "cluster").select("name", "entity", "cluster_size")

@@ -1,4 +1,4 @@
-"""Communities of signed graphs, as joins and aggregations that run for all parameter points at once.
+"""Communities of signed graphs, for all parameter points at once.
 
 The objective is the sum over pairs within a community of A+ - gamma k k' / 2m - lambda A-: modularity with a
 resolution on the attraction layer less the weight of repulsion. Nodes move to the neighbouring community with the
@@ -7,13 +7,19 @@ neighbours do not swap. A round is kept only if the objective grew; if it did no
 at last the node with the largest gain alone. When no node gains by moving, communities are contracted and moved again
 as one, until a level contracts nothing.
 
+Communities lie within components of the attraction layer, whose moves do not touch each other, so each component goes
+its own way: with at most LOCAL_EDGES edges by arrays in one task, and a larger one by joins and aggregations, in the
+same rounds.
+
 Defined results: nodes without edges are communities of their own; self edges, null ends and weights <= 0 are no
 edges; parallel edges keep the largest weight; results do not depend on the order of rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -22,6 +28,8 @@ from ..session import written
 SWEEP = [(1.0, 1.0), (1.0, 3.0), (1.0, 10.0), (2.0, 3.0), (2.0, 10.0), (2.0, 30.0)]
 #: nodes are shared into at most so many turns; then they move one by one
 FEWEST = 64
+#: edges of a component that one task holds at most
+LOCAL_EDGES = 200_000
 
 
 def minimum_labels(links: DataFrame) -> DataFrame:
@@ -73,6 +81,11 @@ def _wishes(level: DataFrame, degrees: DataFrame, comm: DataFrame) -> DataFrame:
     return best.select("point", "node", F.col("now").alias("c"), F.col("to.c").alias("to"), (F.col("top") - F.col("stay")).alias("more"))
 
 
+def _turns(hashes: Column, turn: int, share: int) -> Column:
+    """Whether it is a node's turn; as many rounds in a row as nodes are shared into give every node one."""
+    return F.pmod(F.shiftrightunsigned(hashes, 7 * (turn // share) % 57) + turn, F.lit(share)) == 0
+
+
 def _settled(level: DataFrame, degrees: DataFrame, comm: DataFrame, rounds: int) -> DataFrame:
     """The partition (point, node, c) that comm becomes when no node gains by moving; more rounds are an error."""
     score = {r["point"]: r["q"] for r in objective(level, degrees, comm).collect()}
@@ -87,8 +100,7 @@ def _settled(level: DataFrame, degrees: DataFrame, comm: DataFrame, rounds: int)
             return comm
         may = F.lit(False)
         for p in moving:
-            # as many rounds in a row as nodes are shared into give every node its turn
-            turns = F.pmod(F.xxhash64("node", F.lit(turn // share[p])) + turn, F.lit(share[p])) == 0 if share[p] <= FEWEST else F.col("node") == first[p]
+            turns = _turns(F.xxhash64("node"), turn, share[p]) if share[p] <= FEWEST else F.col("node") == first[p]
             may |= (F.col("point") == p) & turns
         after = wishes.select("point", "node", F.when(may & wish, F.col("to")).otherwise(F.col("c")).alias("c"))
         now = {r["point"]: r["q"] for r in objective(level, degrees, after).collect()}
@@ -100,25 +112,124 @@ def _settled(level: DataFrame, degrees: DataFrame, comm: DataFrame, rounds: int)
     raise RuntimeError(f"communities still change after {rounds} rounds")
 
 
-def communities(nodes: DataFrame, attraction: DataFrame, repulsion: DataFrame | None = None, points: list[tuple[float, float]] | None = None, rounds: int = 1000) -> DataFrame:
+class _Arrays:
+    """One component at one parameter point: links (src, dst, w) in both directions, degrees k, and a hash a node; nodes are numbers in the order of their names."""
+
+    def __init__(self, src: np.ndarray, dst: np.ndarray, w: np.ndarray, k: np.ndarray, scale: float, hashes: np.ndarray):
+        self.src, self.dst, self.w, self.k, self.scale, self.hashes, self.n = src, dst, w, k, scale, hashes, len(k)
+
+    def objective(self, comm: np.ndarray) -> float:
+        total = np.bincount(comm, self.k, self.n)
+        return float(self.w[comm[self.src] == comm[self.dst]].sum() - self.scale * (total * total).sum())
+
+    def wishes(self, comm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best community of each node, the smallest of equally good ones, and what the node gains by moving there."""
+        apart, own = self.src != self.dst, np.arange(self.n)
+        key, at = np.unique(np.concatenate((self.src[apart] * self.n + comm[self.dst[apart]], own * self.n + comm)), return_inverse=True)
+        link = np.bincount(at, np.concatenate((self.w[apart], np.zeros(self.n))), len(key))
+        node, to = key // self.n, key % self.n
+        total = np.bincount(comm, self.k, self.n)
+        gain = np.round(link - self.scale * self.k[node] * (total[to] - np.where(to == comm[node], self.k[node], 0.0)), 12)
+        stay = np.zeros(self.n)
+        stay[node[to == comm[node]]] = gain[to == comm[node]]
+        order = np.lexsort((to, -gain, node))
+        best = order[np.searchsorted(node[order], own)]
+        return to[best], gain[best] - stay
+
+    def settled(self, rounds: int) -> np.ndarray:
+        """The partition when no node gains by moving, each node alone at first."""
+        comm = np.arange(self.n)
+        score, share = self.objective(comm), 2
+        for turn in range(rounds):
+            to, more = self.wishes(comm)
+            wish = more > 1e-9
+            if not wish.any():
+                return comm
+            may = ((self.hashes >> np.uint64(7 * (turn // share) % 57)).view(np.int64) + turn) % share == 0 if share <= FEWEST else np.arange(self.n) == more.argmax()
+            after = np.where(may & wish, to, comm)
+            now = self.objective(after)
+            if now > score + 1e-9:
+                comm, score, share = after, now, max(2, share // 2)
+            elif share > FEWEST:
+                return comm  # a gain below what the sum can show
+            else:
+                share *= 2
+        raise RuntimeError(f"communities still change after {rounds} rounds")
+
+    def communities(self, rounds: int) -> np.ndarray:
+        """The community of each node after all levels."""
+        level, membership = self, np.arange(self.n)
+        while True:
+            comm = level.settled(rounds)
+            named, place = np.unique(comm, return_inverse=True)
+            membership = place[membership]
+            if len(named) == level.n:
+                return membership
+            key, at = np.unique(place[level.src] * len(named) + place[level.dst], return_inverse=True)
+            level = _Arrays(key // len(named), key % len(named), np.bincount(at, level.w, len(key)), np.bincount(place, level.k, len(named)), level.scale, level.hashes[named])
+
+
+def _within(points: list[tuple[float, float]], two_m: float, rounds: int):
+    """Communities of one component from its edges (a, b, ha, hb, attract, repel); the hashes are those of the ends."""
+
+    def run(edges: pa.Table) -> pa.Table:
+        ends = [np.array(edges.column(c).to_pylist(), object) for c in "ab"]
+        names, number = np.unique(np.concatenate(ends), return_inverse=True)
+        hashes = np.zeros(len(names), np.int64)
+        hashes[number] = np.concatenate([edges.column(c).to_numpy() for c in ("ha", "hb")])
+        a, b = number[: len(edges)], number[len(edges) :]
+        attract, repel = (edges.column(c).to_numpy() for c in ("attract", "repel"))
+        k = np.bincount(np.concatenate((a, b)), np.tile(attract, 2), len(names))
+        parts = []
+        for i, (gamma, factor) in enumerate(points):
+            w = attract - factor * repel
+            arrays = _Arrays(np.concatenate((a, b)), np.concatenate((b, a)), np.tile(w, 2), k, gamma / two_m, hashes.view(np.uint64))
+            found = arrays.communities(rounds)
+            least = np.full(len(names), len(names))
+            np.minimum.at(least, found, np.arange(len(names)))
+            parts.append(pa.table({"point": pa.array(np.full(len(names), i), pa.int32()), "node": pa.array(names.tolist(), pa.string()), "community": pa.array(names[least[found]].tolist(), pa.string())}))
+        return pa.concat_tables(parts)
+
+    return run
+
+
+def communities(nodes: DataFrame, attraction: DataFrame, repulsion: DataFrame | None = None, points: list[tuple[float, float]] | None = None, rounds: int = 1000, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """(point, node, community) for each parameter point (resolution, factor); community is named by its smallest node.
 
-    nodes (node string), attraction and repulsion (a, b, weight). Without points, one with resolution 1.
+    nodes (node string), attraction and repulsion (a, b, weight). Without points, one with resolution 1. Nodes that edges
+    name and nodes lacks are no nodes of the result.
     """
     points = points or [(1.0, 0.0)]
+    spark = nodes.sparkSession
     pos, names = written(_canonical(attraction), "attraction"), nodes.select("node").filter("node is not null").distinct()
     two_m = (pos.agg(F.sum("weight")).first()[0] or 0.0) * 2
-    signed = pos.withColumn("sign", F.lit(1.0))
+    signed = pos.select("a", "b", F.col("weight").alias("attract"), F.lit(0.0).alias("repel"))
     if repulsion is not None:
-        signed = signed.unionByName(_canonical(repulsion).withColumn("sign", F.lit(-1.0)))
-    each = F.explode(F.array(*(F.struct(F.lit(i).alias("point"), F.lit(float(f)).alias("factor")) for i, (_, f) in enumerate(points))))
-    level = signed.select("a", "b", "weight", "sign", each.alias("p")).select("p.point", "a", "b", F.when(F.col("sign") > 0, F.col("weight")).otherwise(-F.col("p.factor") * F.col("weight")).alias("w"))
-    level = level.groupBy("point", "a", "b").agg(F.sum("w").alias("w"))
-    level = written(level.select("point", F.col("a").alias("src"), F.col("b").alias("dst"), "w").unionByName(level.select("point", F.col("b").alias("src"), F.col("a").alias("dst"), "w")), "level")
-    k = pos.select(F.explode(F.array("a", "b")).alias("node"), "weight").groupBy("node").agg(F.sum("weight").alias("k"))
-    gammas = F.explode(F.array(*(F.struct(F.lit(i).alias("point"), F.lit(float(g) / two_m if two_m else 0.0).alias("scale")) for i, (g, _) in enumerate(points))))
-    linked = k.select("node", "k", gammas.alias("p")).select("p.point", "node", "k", F.col("p.scale").alias("scale"))
-    degrees = written(linked, "degrees")
+        signed = signed.unionByName(_canonical(repulsion).select("a", "b", F.lit(0.0).alias("attract"), F.col("weight").alias("repel")))
+    signed = signed.groupBy("a", "b").agg(F.sum("attract").alias("attract"), F.sum("repel").alias("repel"))
+    inside = components(pos)
+    # repulsion between components keeps nothing apart that could come together
+    edges = signed.join(inside.toDF("a", "component"), "a").join(inside.toDF("b", "component"), ["b", "component"])
+    edges = written(edges.withColumn("ha", F.xxhash64("a")).withColumn("hb", F.xxhash64("b")), "edges")
+    large = [r["component"] for r in edges.groupBy("component").count().filter(F.col("count") > local_edges).orderBy("component").collect()]  # at most all edges over local_edges
+    schema = "point int, node string, community string"
+    columns = ("component", "a", "b", "ha", "hb", "attract", "repel")
+    small = edges.join(spark.createDataFrame([(c,) for c in large], "component string"), "component", "left_anti") if large else edges
+    placed = small.select(*columns).groupBy("component").applyInArrow(_within(points, two_m or 1.0, rounds), schema)
+    if large:
+        numbers = spark.createDataFrame(list(enumerate(large)), "nth int, component string")
+        placed = placed.unionByName(_spread_communities(edges.join(numbers, "component"), points, two_m or 1.0, rounds))
+    everywhere = names.select("node", F.explode(F.array(*(F.lit(i) for i in range(len(points))))).alias("point"))
+    return everywhere.join(placed, ["point", "node"], "left").select("point", "node", F.coalesce("community", "node").alias("community"))
+
+
+def _spread_communities(edges: DataFrame, points: list[tuple[float, float]], two_m: float, rounds: int) -> DataFrame:
+    """(point, node, community) of the edges (nth, a, b, attract, repel) of large components, which nth numbers; a component at a parameter point is a point of its own here."""
+    n = len(points)
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(float(g) / two_m).alias("scale"), F.lit(float(f)).alias("factor")) for i, (g, f) in enumerate(points))))
+    rows = edges.withColumn("p", each).select((F.col("nth") * n + F.col("p.i")).alias("point"), "a", "b", "attract", (F.col("attract") - F.col("p.factor") * F.col("repel")).alias("w"), "p.scale")
+    level = written(rows.select("point", F.col("a").alias("src"), F.col("b").alias("dst"), "w").unionByName(rows.select("point", F.col("b").alias("src"), F.col("a").alias("dst"), "w")), "level")
+    degrees = written(rows.select("point", F.explode(F.array("a", "b")).alias("node"), "attract", "scale").groupBy("point", "node").agg(F.sum("attract").alias("k"), F.first("scale").alias("scale")), "degrees")
     membership = degrees.select("point", "node", F.col("node").alias("c"))
     inner, size = membership, degrees.count()
     while True:
@@ -132,14 +243,10 @@ def communities(nodes: DataFrame, attraction: DataFrame, repulsion: DataFrame |
         if size == before:
             break
     first = membership.groupBy("point", "c").agg(F.min("node").alias("community"))
-    placed = membership.join(first, ["point", "c"]).select("point", "node", "community")
-    everywhere = names.select("node", F.explode(F.array(*(F.lit(i) for i in range(len(points))))).alias("point"))
-    return everywhere.join(placed, ["point", "node"], "left").select("point", "node", F.coalesce("community", "node").alias("community"))
+    return membership.join(first, ["point", "c"]).select(F.pmod("point", F.lit(n)).cast("int").alias("point"), "node", "community")
 
 
 def violated(membership: DataFrame, repulsion: DataFrame) -> DataFrame:
     """(point, n): repulsion edges with both ends in one community."""
     ends = repulsion.join(membership.toDF("point", "a", "ca"), "a").join(membership.toDF("point", "b", "cb"), ["point", "b"]).filter("ca = cb")
     return ends.groupBy("point").agg(F.count("*").alias("n"))
-
-

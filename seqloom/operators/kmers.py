@@ -206,13 +206,17 @@ def archived_votes(records: DataFrame, bits: int = 55_296) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            for i, seq in enumerate(batch.column(1).to_pylist()):
-                if seq is not None and len(seq) > 17:
-                    data = np.frombuffer(seq.encode(), np.uint8)[:-1]
-                    for strand in (data, _OTHER_STRAND[data[::-1]]):
-                        hashes.append(wyhash17(strand))
-                        rows.append(np.full(len(hashes[-1]), i))
+            seqs = [s.encode()[:-1] if s is not None and len(s) > 17 else b"" for s in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, seqs)])
+            data = np.frombuffer(b"".join(seqs), np.uint8)
+            rows, hashes = [], []
+            # the other strand of all records at once has them in reverse order
+            for strand, bounds, forth in ((data, ends, True), (_OTHER_STRAND[data[::-1]], ends[-1] - ends[::-1], False)):
+                h = wyhash17(strand)
+                at = np.searchsorted(bounds, np.arange(len(h)), side="right") - 1
+                whole = np.arange(len(h)) + 17 <= bounds[at + 1]
+                hashes.append(h[whole])
+                rows.append(at[whole] if forth else len(seqs) - 1 - at[whole])
             yield _added(batch.column(0), np.concatenate(rows), np.concatenate(hashes), bits)
 
     rows = records.select("entity", "seq").mapInArrow(run, f"entity {kind.simpleString()}, slot int, vote bigint")
@@ -251,27 +255,33 @@ def archived_sketch(records: DataFrame) -> DataFrame:
     return records.select("entity").distinct().join(made, "entity", "left").select("entity", F.coalesce("bits", F.unhex(F.repeat(F.lit("FF"), 6912))).alias("bits"))
 
 
+def strand_words(column: pa.Array, k: int, both: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, word, reverse) of valid windows as they stand, and with both also those of the reverse complement, with places in it."""
+    letters, offsets = _letters(column)
+    if len(letters) < k:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+    code = _CODE[letters]
+    bad = np.concatenate(([0], np.cumsum(code > 3)))
+    digits = np.minimum(code, 3)
+    start = np.arange(len(letters) - k + 1)
+    row = np.searchsorted(offsets, start, side="right") - 1
+    good = (bad[k:] == bad[:-k]) & (start + k <= offsets[row + 1])
+    row, pos = row[good], (start - offsets[row])[good]
+    word = _words(digits, k, True)[good]
+    if not both:
+        return row, pos, word, np.zeros(len(row), bool)
+    back = np.diff(offsets)[row] - k - pos
+    return np.tile(row, 2), np.concatenate((pos, back)), np.concatenate((word, _words(3 - digits, k, False)[good])), np.repeat([False, True], len(row))
+
+
 def strand_rows(records: DataFrame, k: int, both: bool) -> DataFrame:
-    """(entity, part, pos, word, rev) of records (entity, part, seq): words as they stand, and with both also those of the reverse complement, with places in it."""
+    """(entity, part, pos, word, rev) of records (entity, part, seq), by strand_words."""
     kind = records.schema["entity"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            letters, offsets = _letters(batch.column(2))
-            if len(letters) < k:
-                continue
-            code = _CODE[letters]
-            bad = np.concatenate(([0], np.cumsum(code > 3)))
-            digits = np.minimum(code, 3)
-            start = np.arange(len(letters) - k + 1)
-            row = np.searchsorted(offsets, start, side="right") - 1
-            good = (bad[k:] == bad[:-k]) & (start + k <= offsets[row + 1])
-            row, pos = row[good], (start - offsets[row])[good]
-            sides = [(False, pos, _words(digits, k, True)[good])]
-            if both:
-                sides.append((True, np.diff(offsets)[row] - k - pos, _words(3 - digits, k, False)[good]))
-            for rev, at, word in sides:
-                took = pa.array(row)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(took), batch.column(1).take(took), pa.array(at.astype(np.int32)), pa.array(word.view(np.int64)), pa.array(np.full(len(row), rev))], names=["entity", "part", "pos", "word", "rev"])
+            row, pos, word, rev = strand_words(batch.column(2), k, both)
+            took = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(took), batch.column(1).take(took), pa.array(pos.astype(np.int32)), pa.array(word.view(np.int64)), pa.array(rev)], names=["entity", "part", "pos", "word", "rev"])
 
     return records.select("entity", F.col("part").cast("int"), "seq").mapInArrow(run, f"entity {kind}, part int, pos int, word bigint, rev boolean")

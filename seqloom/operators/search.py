@@ -1,8 +1,8 @@
 """Nearest references: exhaustive search over bit sketches with margin acceptance, and search through an inverted index.
 
-Every query is compared with every reference, in blocks: references lie in blocks of consecutive order, queries in
-blocks of their own, and a block pair is one equi-joined row that a vectorised kernel works off. Nothing is broadcast
-and nothing but a block's best leaves it.
+Every query is compared with every reference, in blocks of at most BLOCK_BYTES: references lie in ranges of their order,
+queries in blocks of their own, and a pair of blocks is one task's work. So the references move once for every
+BLOCK_BYTES of queries. Nothing is broadcast and nothing but a block's best leaves it.
 """
 
 from __future__ import annotations
@@ -14,10 +14,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import spread, written
+
 NO_SECOND = 2_147_483_647
 MIN_RATIO = 0.01
-REF_BLOCK = 4096
-QUERY_BLOCK = 256
+BLOCK_BYTES = 64 << 20
+#: pairs of blocks up to this number have a task each
+TASKS = 20_000
+#: eight-byte words compared at once
+_AT_ONCE = 1 << 17
 
 
 def sign_bits(vectors: DataFrame) -> DataFrame:
@@ -38,47 +43,70 @@ def accepted(best: Column, second: Column, ratio: float = MIN_RATIO) -> Column:
     return (best == 0) | (F.coalesce(share, F.lit(0)).cast("float") > F.lit(ratio).cast("float"))
 
 
-def _block_best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for qs, refs, block in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
-            qs, refs = qs.values, refs.values
-            order = np.argsort(refs.field("ref").to_numpy(), kind="stable")
-            ref_ids = refs.field("ref").to_numpy()[order]
-            q_ids = qs.field("entity").to_numpy()
-            rows = [np.frombuffer(b, np.uint8) for b in refs.field("bits").to_pylist()]
-            width = -(-len(rows[0]) // 8) * 8
-            held = np.zeros((len(rows), width), np.uint8)
-            held[:, : len(rows[0])] = np.stack(rows)[order]
-            held = held.view(np.uint64)
-            out = []
-            for q, bits in zip(q_ids, qs.field("bits").to_pylist()):
-                mine = np.zeros(width, np.uint8)
-                mine[: len(bits)] = np.frombuffer(bits, np.uint8)
-                distance = np.bitwise_count(held ^ mine.view(np.uint64)).sum(axis=1, dtype=np.int64)
-                distance[ref_ids == q] = NO_SECOND  # never its own neighbour
-                at = int(distance.argmin())
-                if distance[at] < NO_SECOND:
-                    out.append((q, block, distance[at], ref_ids[at], distance[:at].min(initial=NO_SECOND)))
-            columns = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in columns], names=["query", "block", "dist", "ref", "before"])
-
-
-def nearest(queries: DataFrame, references: DataFrame, ref_block: int = REF_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """(query, ref, dist, second) for queries (entity bigint, bits) over references (ref bigint, bits), ordered by ref.
+def _matrix(bits: pa.ChunkedArray) -> np.ndarray:
+    """Rows of bits, all of one length, as eight-byte words."""
+    rows = [np.frombuffer(b, np.uint8) for b in bits.to_pylist()]
+    out = np.zeros((len(rows), -(-len(rows[0]) // 8) * 8), np.uint8)
+    for i, row in enumerate(rows):
+        out[i, : len(row)] = row
+    return out.view(np.uint64)
+
+
+def _block_best(key, queries: pa.Table, refs: pa.Table) -> pa.Table:
+    """(query, block, dist, ref, before) of one pair of blocks: the first nearest reference, and the smallest distance before it."""
+    out = []
+    if queries.num_rows and refs.num_rows:
+        refs = refs.sort_by("ref")
+        ids, block, held = refs.column("ref").to_numpy(), refs.column("block")[0].as_py(), _matrix(refs.column("bits"))
+        asked = _matrix(queries.column("bits"))
+        step = max(1, _AT_ONCE // held.shape[1])
+        for q, mine in zip(queries.column("entity").to_pylist(), asked):
+            best, ref, before = NO_SECOND, None, NO_SECOND
+            for at in range(0, len(ids), step):
+                distance = np.bitwise_count(held[at : at + step] ^ mine).sum(axis=1, dtype=np.int32)
+                distance[ids[at : at + step] == q] = NO_SECOND  # never its own neighbour
+                i = int(distance.argmin())
+                if distance[i] < best:
+                    best, ref, before = int(distance[i]), int(ids[at + i]), min(best, int(distance[:i].min(initial=NO_SECOND)))
+            if ref is not None:
+                out.append((q, block, best, ref, before))
+    columns = list(zip(*out)) or [()] * 5
+    return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query", "block", "dist", "ref", "before"])
+
+
+def _size(rows: DataFrame) -> int:
+    return rows.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
+
+
+def reference_blocks(references: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(ref, bits, block) of references (ref bigint, bits), written in the order of ref, a range of it a block of at most about block_bytes; null bits are left out."""
+    rows = references.select("ref", "bits").filter("bits is not null")
+    n = max(spread(references.sparkSession), -(-_size(rows) // block_bytes))
+    return written(rows.repartitionByRange(n, "ref").withColumn("block", F.spark_partition_id().cast("bigint")), "references")
+
+
+def nearest(queries: DataFrame, references: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(query, ref, dist, second) for queries (entity bigint, bits) over references (ref bigint, bits), ordered by ref, or over reference_blocks.
 
     The earliest of the nearest wins. second is the smallest distance among the references before the winner, or
-    NO_SECOND. A query that is itself a reference is not compared with itself; one without references has no row.
+    NO_SECOND. A query that is itself a reference is not compared with itself; one without references has no row. Rows
+    with null bits are left out. The queries should be a written table, as they are read more than once.
     """
-    refs = references.groupBy(F.floor(F.col("ref") / ref_block).alias("block")).agg(F.collect_list(F.struct("ref", "bits")).alias("refs"))
-    blocks = refs.select("block")
-    n = max(1, -(-queries.count() // query_block))
-    asked = queries.groupBy(F.pmod(F.xxhash64("entity"), F.lit(n)).alias("q_block")).agg(F.collect_list(F.struct("entity", "bits")).alias("qs"))
+    spark = queries.sparkSession
+    queries = queries.select("entity", "bits").filter("bits is not null")
+    n_q = max(1, -(-_size(queries) // block_bytes))
+    blocks = references if "block" in references.columns else reference_blocks(references, block_bytes)
+    n_r = (blocks.agg(F.max("block")).first()[0] or 0) + 1
+    tasks = min(n_q * n_r, TASKS)
     # every reference block meets every query block once: the stated query set against all rows
-    keys = blocks.select("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("q_block"))
-    pairs = keys.join(asked, "q_block").join(refs, "block").select("qs", "refs", "block")
-    best = pairs.mapInArrow(_block_best, "query bigint, block bigint, dist bigint, ref bigint, before bigint")
-    by = Window.partitionBy("query")  # one row a reference block
-    first = best.withColumn("win", F.min(F.struct("dist", "ref", "block", "before")).over(by))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    task = ((F.col("q_block") * n_r + F.col("block")) % tasks).cast("int").alias("task")
+    asked = queries.withColumn("q_block", F.pmod(F.xxhash64("entity"), F.lit(n_q))).withColumn("block", every(n_r)).select(task, "q_block", "block", "entity", "bits")
+    held = blocks.withColumn("q_block", every(n_q)).select(task, "q_block", "block", "ref", "bits")
+    by = ["task", "q_block", "block"]
+    best = asked.repartitionById(tasks, "task").groupBy(*by).cogroup(held.repartitionById(tasks, "task").groupBy(*by)).applyInArrow(_block_best, "query bigint, block bigint, dist bigint, ref bigint, before bigint")
+    by_query = Window.partitionBy("query")  # one row a reference block
+    first = best.withColumn("win", F.min(F.struct("dist", "ref", "block", "before")).over(by_query))
     earlier = F.min(F.when(F.col("block") < F.col("win.block"), F.col("dist")))
     out = first.groupBy("query").agg(F.first("win").alias("w"), F.coalesce(earlier, F.lit(NO_SECOND)).alias("e"))
     return out.select("query", F.col("w.ref").alias("ref"), F.col("w.dist").cast("int").alias("dist"), F.least("w.before", "e").cast("int").alias("second"))
@@ -105,11 +133,6 @@ def posting_index(sketches: DataFrame, max_posting: int = 1000) -> DataFrame:
     return sketches.join(frequent, "hash", "left_anti").select("hash", "entity")
 
 
-def write_index(sketches: DataFrame, path: str, max_posting: int = 1000) -> None:
-    """Index as Parquet, in ranges of the hash and sorted, so that a search prunes files and row groups; refuses to overwrite."""
-    posting_index(sketches, max_posting).repartitionByRange("hash").sortWithinPartitions("hash", "entity").write.mode("errorifexists").parquet(path)
-
-
 def index_info(index: DataFrame) -> DataFrame:
     return index.groupBy("hash").count().agg(F.count("*").alias("posting_groups"), F.coalesce(F.sum("count"), F.lit(0)).alias("kept_postings"), F.coalesce(F.max("count"), F.lit(0)).alias("largest_posting"))
 
@@ -129,6 +152,12 @@ def top_hits(hits: DataFrame, keep: int = 20, min_shared: int = 2) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= keep)
 
 
+def best_estimates(scored: DataFrame, keep: int = 5) -> DataFrame:
+    """The keep best refs of each query with their rank, by identity, then the aligned fractions of query and ref, then ref."""
+    by = Window.partitionBy("query").orderBy(F.desc("ani"), F.desc("af_query"), F.desc("af_ref"), "ref")
+    return scored.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= keep)
+
+
 def rebind_labels(index_entities: DataFrame, labels: DataFrame) -> DataFrame:
     """labels (ref, species) for an index, refused unless they name exactly its entities, each once."""
     twice = labels.groupBy("ref").count().filter("count > 1").limit(1).count()

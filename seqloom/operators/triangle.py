@@ -24,6 +24,7 @@ def all_candidates(sketches: DataFrame, min_shared: int = 1, group: int = GROUP)
     The entities of a hash that more than `group` hold are dealt into groups of about that size, and every group meets
     every group as a key of its own, so no task has all pairs of a hash.
     """
+    sketches = written(sketches, "sketches")
     held = written(sketches.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") > group).select("hash", F.ceil(F.col("n") / group).alias("parts")), "frequent")
     rare = sketches.select("hash", "entity").join(held, "hash", "left_anti")
     dealt = sketches.select("hash", "entity").join(held, "hash").withColumn("own", F.pmod(F.xxhash64("entity"), "parts")).withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
@@ -40,7 +41,8 @@ def triangle_candidates(sketches: DataFrame, min_shared: int = 1, keep: int = 12
     A node's partners are ranked by shared hashes, then by id. Hashes of more than max_posting entities do not count,
     as candidate search is defined; the exact join below knows no such limit. keep 0 keeps all.
     """
-    pairs = shared_counts(posting_index(sketches, max_posting)).filter(F.col("shared") >= min_shared)
+    index = written(posting_index(written(sketches, "sketches"), max_posting), "index")
+    pairs = shared_counts(index).filter(F.col("shared") >= min_shared)
     both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), "shared").unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("other"), "shared"))
     if keep:
         both = both.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "other"))).filter(F.col("r") <= keep)
@@ -77,7 +79,10 @@ def similar_classes(sketches: DataFrame, at_least: float = 0.8) -> tuple[DataFra
     left, right = prefix.toDF("hash", "a", "size_a"), prefix.toDF("hash", "b", "size_b")
     near = (F.col("a") < F.col("b")) & (F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * at_least - 1e-9)
     pairs = left.join(right, "hash").filter(near).select("a", "b", "size_a", "size_b").distinct()
-    sets = sketches.groupBy("entity").agg(F.array_sort(F.collect_set("hash")).alias("hashes"))  # a sketch is bounded by its entity
-    met = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b").withColumn("shared", F.size(F.array_intersect("left", "right")).cast("bigint"))
+    # shared hashes are counted where a candidate's sets meet: its rows, not both sets, move
+    pairs = written(pairs, "candidates")
+    ours = pairs.join(sketches.toDF("a", "hash"), "a").select("a", "b", "hash")
+    shared = ours.join(sketches.toDF("b", "hash"), ["b", "hash"]).groupBy("a", "b").agg(F.count("*").alias("shared"))
+    met = pairs.join(shared, ["a", "b"])
     scored = met.withColumn("jaccard", F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared")))
     return classes, scored.filter(F.col("jaccard") >= at_least).select("a", "b", "shared", "jaccard")

@@ -1,7 +1,7 @@
 """Queries of the sketch, search, graph and audit operators over the given tables.
 
 Each takes (spark, folder) and runs over whole tables. Searches take every row whose id is divisible by 50 as queries
-and search all rows; annotate, as its SQL, searches the rows that are not queries, and by sketches of 256 bits.
+and search all rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from ..operators import align, audit, evidence, graph, kmers, search, triangle
 from ..session import table, written
 from ..sources import fasta, tables
 
-BITS, SKETCH_K = 256, 11
+# fixed values: bits and word length of reference sketches
+BITS, SKETCH_K = 55_296, 17
 
 
 def contigs(spark: SparkSession, d: str) -> DataFrame:
@@ -76,12 +77,12 @@ def scaled_sketch(spark, d):
 
 
 def posting_index(spark, d):
-    kept = search.posting_index(kmers.scaled_sketch(_by_sag(spark, d), 15, 64), 8)
+    kept = search.posting_index(written(kmers.scaled_sketch(_by_sag(spark, d), 15, 64), "sketches"), 1000)
     return kept.groupBy("hash").agg(F.count("*").alias("n_entities"))
 
 
 def index_info(spark, d):
-    return search.index_info(search.posting_index(kmers.scaled_sketch(_by_sag(spark, d), 15, 64), 8))
+    return search.index_info(search.posting_index(written(kmers.scaled_sketch(_by_sag(spark, d), 15, 64), "sketches"), 1000))
 
 
 def index_search(spark, d):
@@ -91,13 +92,13 @@ def index_search(spark, d):
 
 
 def seed_table(spark, d):
-    """Seeds of each SAG by number of places, without those in more than 4."""
-    seeds = kmers.seed_table(_by_sag(spark, d), 9, 4)
+    """Seeds of each SAG by number of places, without those in more than 64."""
+    seeds = kmers.seed_table(_by_sag(spark, d), 9, 64)
     return seeds.groupBy("entity").agg(F.count("*").alias("n_places"), F.countDistinct("seed").alias("n_seeds")).withColumnRenamed("entity", "sag_id")
 
 
 def triangle_candidates(spark, d):
-    return triangle.triangle_candidates(kmers.scaled_sketch(_by_contig(spark, d), 15, 16), 1, 3, 50)
+    return triangle.triangle_candidates(kmers.scaled_sketch(_by_contig(spark, d), 15, 16), 1, 128, 1000)
 
 
 def jaccard_classes(spark, d):
@@ -110,7 +111,7 @@ def jaccard_pairs(spark, d):
 
 def candidate_recall(spark, d):
     sketches = kmers.scaled_sketch(_by_contig(spark, d), 15, 4)
-    return audit.candidate_recall(triangle.similar_classes(sketches)[1], triangle.triangle_candidates(kmers.scaled_sketch(_by_contig(spark, d), 15, 16), 1, 3, 50))
+    return audit.candidate_recall(triangle.similar_classes(sketches)[1], triangle.triangle_candidates(kmers.scaled_sketch(_by_contig(spark, d), 15, 16), 1, 128, 1000))
 
 
 def sketch_votes(spark, d):
@@ -118,7 +119,7 @@ def sketch_votes(spark, d):
 
 
 def hamming_nearest(spark, d):
-    bits = search.sign_bits(table(spark, d, "embeddings").select(F.col("vec_id").alias("entity"), "embedding"))
+    bits = written(search.sign_bits(table(spark, d, "embeddings").select(F.col("vec_id").alias("entity"), "embedding")), "bits")
     found = search.nearest(bits.filter("entity % 50 = 0"), bits.withColumnRenamed("entity", "ref"))
     return found.withColumn("accepted", search.accepted(F.col("dist"), F.col("second")))
 
@@ -133,7 +134,7 @@ def annotate(spark, d):
     base = contigs(spark, d)
     sketch = written(kmers.bit_sketch(base.select(F.col("contig_id").alias("entity"), "seq"), BITS, SKETCH_K), "sketch")
     labels = base.join(latest_species(spark, d), "sag_id").select(F.col("contig_id").alias("ref"), "species")
-    out = search.annotate(sketch.filter("entity % 50 = 0"), sketch.filter("entity % 50 <> 0").withColumnRenamed("entity", "ref"), labels)
+    out = search.annotate(sketch.filter("entity % 50 = 0"), sketch.withColumnRenamed("entity", "ref"), labels)
     return out.withColumnRenamed("query", "contig_id")
 
 
@@ -217,13 +218,12 @@ def signed_clusters(spark, d):
 
 def sweep_selection(spark, d):
     """The parameter point with most pure communities of three or more."""
-    found = signed_clusters(spark, d)
-    scores = None
-    for i in range(len(graph.SWEEP)):
-        one = evidence.cluster_purity(found.filter(F.col("point") == i).select(F.col("community").alias("cluster"), F.col("node").alias("entity")), _pairs(spark, d), 97.0, 3)
-        row = one.agg(F.lit(i).alias("ord"), F.count_if(F.col("purity") >= 0.9).alias("n_pure"), F.coalesce(F.sum(F.when(F.col("purity") >= 0.9, F.col("size"))), F.lit(0)).alias("n_members"))
-        scores = row if scores is None else scores.unionByName(row)
-    return evidence.select_parameters(scores)
+    found = written(signed_clusters(spark, d), "clusters")
+    members = found.select(F.struct("point", "community").alias("cluster"), F.col("node").alias("entity"))
+    pure = evidence.cluster_purity(members, _pairs(spark, d), 97.0, 3).filter("purity >= 0.9")
+    scores = pure.groupBy(F.col("cluster.point").alias("ord")).agg(F.count("*").alias("n_pure"), F.sum("size").alias("n_members"))
+    all_points = found.select(F.col("point").alias("ord")).distinct().join(scores, "ord", "left").fillna(0, ["n_pure", "n_members"])
+    return evidence.select_parameters(all_points)
 
 
 def assembly_n50(spark, d):
@@ -260,7 +260,7 @@ def metric_deltas(spark, d):
 
 
 def multiset_digest(spark, d):
-    return audit.multiset_digest(contigs(spark, d), "sag_id", F.col("seq"))
+    return audit.multiset_digest(contigs(spark, d), ["sag_id"], F.col("seq"))
 
 
 def ordered_digest(spark, d):
@@ -305,11 +305,28 @@ def largest_entities(spark, d):
     return sizes.orderBy(F.desc("total_bp"), "sag_id").limit(20)
 
 
+def _sequences(spark, d):
+    return written(_by_contig(spark, d), "sequences")
+
+
 def ani_af_pairs(spark, d):
     """Estimates of all contig pairs that share three sketch hashes or more."""
-    base = contigs(spark, d)
-    pairs = triangle.all_candidates(kmers.scaled_sketch(_by_contig(spark, d), 15, 16), 3)
-    return align.pair_estimates(pairs.select("a", "b"), base.select(F.col("contig_id").alias("entity"), "seq"))
+    base = _sequences(spark, d)
+    pairs = triangle.all_candidates(kmers.scaled_sketch(base, 15, 16), 3)
+    return align.pair_estimates(pairs.select("a", "b"), base)
+
+
+def exact_estimates(spark, d):
+    """Estimates with an aligned fraction of 15 percent or more, of every contig whose id is divisible by 50 against all others; no pair is left out."""
+    base = _sequences(spark, d)
+    return align.pair_estimates(align.voted_pairs(base.filter("entity % 50 = 0"), base), base, min_af=15.0)
+
+
+def estimate_recall(spark, d):
+    """How many of the pairs of exact_estimates the shared hashes of ani_af_pairs name."""
+    base = _sequences(spark, d)
+    near = exact_estimates(spark, d).filter("ani >= 90").select(F.least("ref", "query").alias("a"), F.greatest("ref", "query").alias("b"))
+    return audit.candidate_recall(near, triangle.all_candidates(kmers.scaled_sketch(base, 15, 16), 3))
 
 
 CATALOG = {
@@ -319,7 +336,7 @@ CATALOG = {
         jaccard_classes, jaccard_pairs, candidate_recall, sketch_votes, hamming_nearest, published_annotations, pending_entities, label_groups, key_closure, partition_closure, bin_members,
         attraction_edges, best_hits, pair_evidence, repulsion_edges, graph_components, cluster_purity, cluster_names, signed_clusters, sweep_selection, assembly_n50, interval_union, coverage_windows,
         depth_segments, quality_class_counts, metric_deltas, multiset_digest, ordered_digest, systematic_sample, telemetry_monotonic, telemetry_windows, merged_fasta, fasta_records, mate_pairs, evidence_kinds,
-        largest_entities, ani_af_pairs,
+        largest_entities, ani_af_pairs, exact_estimates, estimate_recall,
     )
 }
 

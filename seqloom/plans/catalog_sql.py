@@ -9,11 +9,14 @@ def _count(kinds: str) -> str:
 
 def _words(k: int, entity: str = "contig_id") -> str:
     """w(entity, pos, word, h): valid windows of k as the smaller two-bit word of both strands, and its hash."""
-    pack = lambda x: " + ".join(f"((({x} >> {4 * i}) & 3) << {2 * i})" for i in range(k))
+    pack = lambda x, n: " + ".join(f"((({x} >> {4 * i}) & 3) << {2 * i})" for i in range(n))
+    low = min(k, 16)  # a number holds sixteen letters of four bits
+    word = lambda x: pack(f"{x}0", low) + (f" + (({pack(f'{x}1', k - low)}) << {2 * low})" if k > low else "")
+    halves = lambda x, to: f"('0x' || right({x}, {low}))::UBIGINT AS {to}0" + (f", ('0x' || left({x}, {k - low}))::UBIGINT AS {to}1" if k > low else "")
     times = lambda x, c: f"((({x})::UHUGEINT * {c}) % 18446744073709551616)::UBIGINT"
     return f"""u AS (SELECT {entity} AS entity, p AS pos, translate(replace(substr(s, p + 1, {k}), 'U', 'T'), 'ACGT', '0123') AS x FROM c, unnest(range(0, length(s) - {k - 1})) AS q(p) WHERE length(s) >= {k} AND {entity} IS NOT NULL),
-v AS (SELECT entity, pos, ('0x' || x)::UBIGINT AS f, ('0x' || translate(reverse(x), '0123', '3210'))::UBIGINT AS r FROM u WHERE regexp_full_match(x, '[0-3]+')),
-z AS (SELECT entity, pos, least({pack('f')}, {pack('r')})::UBIGINT AS word FROM v),
+v AS (SELECT entity, pos, {halves('x', 'f')}, {halves("translate(reverse(x), '0123', '3210')", 'r')} FROM u WHERE regexp_full_match(x, '[0-3]+')),
+z AS (SELECT entity, pos, least({word('f')}, {word('r')})::UBIGINT AS word FROM v),
 m1 AS (SELECT *, {times('xor(word, word >> 30)', 13787848793156543929)} AS y FROM z),
 m2 AS (SELECT entity, pos, word, {times('xor(y, y >> 27)', 10723151780598845931)} AS y FROM m1),
 w AS (SELECT entity, pos, word, xor(y, y >> 31) AS h FROM m2)"""
@@ -24,6 +27,7 @@ def _sketch(k: int, scale: int, entity: str = "contig_id") -> str:
 
 
 _CAPPED = "idx AS (SELECT * FROM sk WHERE hash NOT IN (SELECT hash FROM sk GROUP BY 1 HAVING count(*) > {}))"
+_capped = _CAPPED.format
 _STEM = "regexp_replace(regexp_replace(regexp_extract({p}, '([^/]*)/*$', 1), '(?i)\\.gz$', ''), '(?i)\\.(fasta|fna|fa|fas|fastq|fq)$', '')"
 _LATEST = """ls AS (SELECT sag, arg_max(sp, {'a': annotated_at, 'r': row_id}) AS species FROM (SELECT trim(sag_id, ' ') AS sag, trim(species, ' ') AS sp, annotated_at, row_id FROM annotations WHERE sag_id IS NOT NULL AND species IS NOT NULL) GROUP BY 1)"""
 _IDS = "ids AS (SELECT DISTINCT id FROM sag WHERE id IS NOT NULL)"
@@ -49,15 +53,21 @@ tk AS (SELECT * FROM di QUALIFY row_number() OVER (PARTITION BY node ORDER BY sh
 tc AS (SELECT least(node, other) AS a, greatest(node, other) AS b, max(shared) AS shared, bool_or(node < other) AS by_a, bool_or(node > other) AS by_b FROM tk GROUP BY 1, 2)"""
 
 
-_VOTES = f"{_C}, {_words(11)}, vo AS (SELECT entity, ((h & 9223372036854775807) % 256)::INTEGER AS slot, CAST(sum(CASE WHEN h >> 63 = 1 THEN 1 ELSE -1 END) AS BIGINT) AS vote FROM w GROUP BY 1, 2)"
+def _digest(key: str, name: str = "dg", source: str = "v") -> str:
+    """name(key, n, digest) of the values x in the source: SHA-256 over the number of rows and four sums of parts of their own."""
+    parts = " || '|' || ".join(f"coalesce(sum(('0x' || substr(sha256(x), {1 + 15 * i}, 15))::UBIGINT), 0)::HUGEINT::VARCHAR" for i in range(4))
+    return f"{name} AS (SELECT {key}, count(*) AS n, sha256(count(*) || '|' || {parts}) AS digest FROM {source} GROUP BY 1)"
+
+
+_VOTES = f"{_C}, {_words(17)}, vo AS (SELECT entity, ((h & 9223372036854775807) % 55296)::INTEGER AS slot, CAST(sum(CASE WHEN h >> 63 = 1 THEN 1 ELSE -1 END) AS BIGINT) AS vote FROM w GROUP BY 1, 2)"
 _BEST = """bs AS (SELECT query, arg_min(ref, {'d': dist, 'r': ref}) AS ref, min(dist) AS dist FROM di GROUP BY 1),
 se AS (SELECT bs.query, bs.ref, bs.dist, coalesce(min(di.dist), 2147483647)::INTEGER AS second FROM bs LEFT JOIN di ON di.query = bs.query AND di.ref < bs.ref GROUP BY 1, 2, 3),
 ac AS (SELECT *, CASE WHEN dist = 0 THEN true ELSE CAST((second - dist) AS FLOAT) / CAST(dist AS FLOAT) > CAST(0.01 AS FLOAT) END AS accepted FROM se)"""
 
 CATALOG_SQL = {
     "annotate": f"""WITH {_VOTES}, {_LATEST}, en AS (SELECT DISTINCT entity FROM vo), be AS (SELECT entity, slot FROM vo WHERE vote < 0), nb AS (SELECT en.entity, count(slot) AS n FROM en LEFT JOIN be USING (entity) GROUP BY 1),
-sh AS (SELECT x.entity AS query, y.entity AS ref, count(*) AS n FROM be x JOIN be y ON x.slot = y.slot WHERE x.entity % 50 = 0 AND y.entity % 50 <> 0 GROUP BY 1, 2),
-di AS (SELECT x.entity AS query, y.entity AS ref, (x.n + y.n - 2 * coalesce(sh.n, 0))::INTEGER AS dist FROM nb x JOIN nb y ON x.entity % 50 = 0 AND y.entity % 50 <> 0 LEFT JOIN sh ON sh.query = x.entity AND sh.ref = y.entity), {_BEST}
+sh AS (SELECT x.entity AS query, y.entity AS ref, count(*) AS n FROM be x JOIN be y ON x.slot = y.slot WHERE x.entity % 50 = 0 AND y.entity <> x.entity GROUP BY 1, 2),
+di AS (SELECT x.entity AS query, y.entity AS ref, (x.n + y.n - 2 * coalesce(sh.n, 0))::INTEGER AS dist FROM nb x JOIN nb y ON x.entity % 50 = 0 AND y.entity <> x.entity LEFT JOIN sh ON sh.query = x.entity AND sh.ref = y.entity), {_BEST}
 SELECT en.entity AS contig_id, ac.ref, ac.dist, ac.second, CASE WHEN accepted THEN coalesce(nullif(ls.species, ''), 'UNCLASSIFIED') ELSE 'UNCLASSIFIED' END AS species
 FROM en LEFT JOIN ac ON ac.query = en.entity LEFT JOIN c ON c.contig_id = ac.ref LEFT JOIN ls ON ls.sag = c.sag_id WHERE en.entity % 50 = 0""",
     "entity_stats": f"""WITH {_C}, g AS (SELECT sag_id, count(*) AS n_records, CAST(sum(length(s)) AS BIGINT) AS total_bp, CAST(max(length(s)) AS BIGINT) AS max_contig, CAST(sum({_count('GC')}) AS BIGINT) AS gc_bases, CAST(sum({_count('ACGT')}) AS BIGINT) AS acgt_bases FROM c GROUP BY 1)
@@ -74,16 +84,16 @@ SELECT species, nullif(g, '') AS genus, CASE WHEN n <> '' THEN trim('s__' || n,
     "kmer_counts": f"""WITH {_C}, k AS (SELECT replace(substr(s, p + 1, 5), 'U', 'T') AS x FROM c, unnest(range(0, length(s) - 4)) AS q(p) WHERE length(s) >= 5)
 SELECT least(x, reverse(translate(x, 'ACGT', 'TGCA'))) AS kmer, count(*) AS n FROM k WHERE regexp_full_match(x, '[ACGT]+') GROUP BY 1""",
     "scaled_sketch": f"WITH {_sketch(15, 64, 'sag_id')} SELECT entity AS sag_id, hash FROM sk",
-    "posting_index": f"WITH {_sketch(15, 64, 'sag_id')}, {_CAPPED.format(8)} SELECT hash, count(*) AS n_entities FROM idx GROUP BY 1",
-    "index_info": f"WITH {_sketch(15, 64, 'sag_id')}, {_CAPPED.format(8)}, g AS (SELECT hash, count(*) AS n FROM idx GROUP BY 1) SELECT count(*) AS posting_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS kept_postings, coalesce(max(n), 0) AS largest_posting FROM g",
+    "posting_index": f"WITH {_sketch(15, 64, 'sag_id')}, {_CAPPED.format(1000)} SELECT hash, count(*) AS n_entities FROM idx GROUP BY 1",
+    "index_info": f"WITH {_sketch(15, 64, 'sag_id')}, {_CAPPED.format(1000)}, g AS (SELECT hash, count(*) AS n FROM idx GROUP BY 1) SELECT count(*) AS posting_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS kept_postings, coalesce(max(n), 0) AS largest_posting FROM g",
     "index_search": f"""WITH {_sketch(15, 8)}, {_CAPPED.format(1000)}, qs AS (SELECT entity AS query, count(*) AS query_size FROM sk WHERE entity % 50 = 0 GROUP BY 1),
 h AS (SELECT x.entity AS query, y.entity AS ref, count(*) AS shared FROM sk x JOIN idx y ON x.hash = y.hash AND x.entity <> y.entity WHERE x.entity % 50 = 0 GROUP BY 1, 2 HAVING count(*) >= 2)
 SELECT h.query, ref, shared, query_size, CAST(row_number() OVER (PARTITION BY h.query ORDER BY shared::DOUBLE / query_size DESC, shared DESC, ref) AS INTEGER) AS rank FROM h JOIN qs ON qs.query = h.query QUALIFY rank <= 5""",
-    "seed_table": f"WITH {_C}, {_words(9, 'sag_id')}, k AS (SELECT entity, word, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(*) <= 4) SELECT entity AS sag_id, CAST(sum(n) AS BIGINT) AS n_places, count(*) AS n_seeds FROM k GROUP BY 1",
-    "triangle_candidates": f"WITH {_sketch(15, 16)}, {_tri(16, 1, 3, 50)} SELECT * FROM tc",
+    "seed_table": f"WITH {_C}, {_words(9, 'sag_id')}, k AS (SELECT entity, word, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(*) <= 64) SELECT entity AS sag_id, CAST(sum(n) AS BIGINT) AS n_places, count(*) AS n_seeds FROM k GROUP BY 1",
+    "triangle_candidates": f"WITH {_sketch(15, 16)}, {_tri(16, 1, 128, 1000)} SELECT * FROM tc",
     "jaccard_classes": f"WITH {_JACCARD} SELECT entity, class_id, size FROM cl",
     "jaccard_pairs": f"WITH {_JACCARD} SELECT a, b, shared, round(j, 9) AS jaccard FROM jp",
-    "candidate_recall": f"""WITH {_JACCARD}, sk16 AS (SELECT * FROM sk WHERE hash <= {(2**64 - 1) // 16}), {_tri(16, 1, 3, 50).replace('FROM sk', 'FROM sk16')}, f AS (SELECT jp.a, tc.a AS hit FROM jp LEFT JOIN tc ON jp.a = tc.a AND jp.b = tc.b)
+    "candidate_recall": f"""WITH {_JACCARD}, sk16 AS (SELECT * FROM sk WHERE hash <= {(2**64 - 1) // 16}), {_tri(16, 1, 128, 1000).replace('FROM sk', 'FROM sk16')}, f AS (SELECT jp.a, tc.a AS hit FROM jp LEFT JOIN tc ON jp.a = tc.a AND jp.b = tc.b)
 SELECT count(*) AS n_truth, count(hit) AS n_found, count(*) - count(hit) AS n_missed, CASE WHEN count(*) > 0 THEN round(count(hit)::DOUBLE / count(*), 6) END AS recall FROM f""",
     "sketch_votes": f"WITH {_VOTES} SELECT * FROM vo",
     "hamming_nearest": f"""WITH di AS (SELECT x.vec_id AS query, y.vec_id AS ref, CAST(len(list_filter(list_zip(x.embedding, y.embedding), lambda z: (z[1] > 0) <> (z[2] > 0))) AS INTEGER) AS dist FROM embeddings x JOIN embeddings y ON x.vec_id % 50 = 0 AND x.vec_id <> y.vec_id), {_BEST} SELECT * FROM ac""",
@@ -101,7 +111,7 @@ SELECT count(id) AS n_whole, count(*) FILTER (id IS NOT NULL AND n IS NOT NULL)
     "repulsion_edges": f"WITH {_PE}, e AS (SELECT a, b, count(*) AS n_markers, round(avg(ani), 3) AS mean_pident FROM pe GROUP BY 1, 2) SELECT *, round((97 - mean_pident) / 97, 9) AS weight FROM e WHERE n_markers >= 2 AND mean_pident < 97",
     "graph_components": f"WITH RECURSIVE {_CC} SELECT * FROM cc",
     "cluster_purity": f"""WITH RECURSIVE {_CC}, sz AS (SELECT component, count(*) AS size FROM cc GROUP BY 1 HAVING count(*) >= 3), s AS (SELECT x.component, count(*) FILTER (ani >= 97) AS ok, count(*) FILTER (ani < 97) AS bad, min(ani) AS min_ani FROM pe JOIN cc x ON x.node = a JOIN cc y ON y.node = b WHERE x.component = y.component GROUP BY 1)
-SELECT sz.component AS cluster, size, coalesce(ok, 0) AS ok, coalesce(bad, 0) AS bad, CASE WHEN ok + bad > 0 THEN round(ok::DOUBLE / (ok + bad), 3) END AS purity, min_ani FROM sz LEFT JOIN s USING (component)""",
+SELECT sz.component AS cluster, size, coalesce(ok, 0) AS ok, coalesce(bad, 0) AS bad, CASE WHEN ok + bad > 0 THEN round_even(ok::DOUBLE / (ok + bad), 3) END AS purity, min_ani FROM sz LEFT JOIN s USING (component)""",
     "cluster_names": f"""WITH RECURSIVE {_CC}, sz AS (SELECT component, count(*) AS n, min(node) AS f FROM cc GROUP BY 1 HAVING count(*) >= 3), nm AS (SELECT component, n, 'G' || lpad(row_number() OVER (ORDER BY n DESC, f)::VARCHAR, 4, '0') AS name FROM sz)
 SELECT name, node AS entity, n AS cluster_size FROM cc JOIN nm USING (component)""",
     "assembly_n50": f"""WITH {_C}, r AS (SELECT sag_id, length(s) AS l, sum(length(s)) OVER (PARTITION BY sag_id ORDER BY length(s) DESC ROWS UNBOUNDED PRECEDING) AS run, sum(length(s)) OVER (PARTITION BY sag_id) AS total FROM c WHERE s <> '')
@@ -117,8 +127,8 @@ r AS (SELECT t, p AS seg_start, lead(p) OVER (PARTITION BY t ORDER BY p) AS seg_
     "metric_deltas": f"""WITH {_PE}, o AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY t NULLS FIRST, ani, af_ref) AS i, row_number() OVER (PARTITION BY a, b ORDER BY t DESC NULLS LAST, ani DESC, af_ref DESC) AS j FROM pe),
 d AS (SELECT {_QC.format('x.af_ref', '(100 - x.ani)')} || '>' || {_QC.format('y.af_ref', '(100 - y.ani)')} AS class_change, y.ani - x.ani AS d FROM o x JOIN o y ON x.a = y.a AND x.b = y.b AND x.i = 1 AND y.j = 1 AND x.j > 1)
 SELECT class_change, count(*) AS n_pairs, round(avg(d), 6) AS mean_delta, round(max(abs(d)), 6) AS max_delta FROM d GROUP BY 1""",
-    "multiset_digest": f"WITH {_C} SELECT sag_id, count(*) AS n, sha256(string_agg(sha256(s), '' ORDER BY sha256(s))) AS digest FROM c GROUP BY 1",
-    "ordered_digest": f"WITH {_C} SELECT sag_id, sha256(string_agg(length(rec_name) || ':' || rec_name, '' ORDER BY contig_id)) AS digest FROM c WHERE rec_name IS NOT NULL GROUP BY 1",
+    "multiset_digest": f"WITH {_C}, v AS (SELECT sag_id, s AS x FROM c), {_digest('sag_id')} SELECT * FROM dg",
+    "ordered_digest": f"WITH {_C}, v AS (SELECT sag_id, (row_number() OVER (PARTITION BY sag_id ORDER BY contig_id) - 1) || ':' || rec_name AS x FROM c WHERE rec_name IS NOT NULL), {_digest('sag_id')} SELECT * FROM dg",
     "systematic_sample": f"WITH {_IDS}, r AS (SELECT id AS sag_id, row_number() OVER (ORDER BY id) - 1 AS rank FROM ids) SELECT * FROM r WHERE rank % 4 = 0",
     "telemetry_monotonic": """WITH e AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)
 SELECT user_id, count(*) AS n, min(value) AS low, max(value) AS high, arg_min(value, {'t': ts, 'e': event_id}) AS first, arg_max(value, {'t': ts, 'e': event_id}) AS last, count(*) FILTER (value < p) AS n_falls FROM e GROUP BY 1""",

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import seqfuncs as fn
+from ..operators.audit import multiset_digest
 
 RECORD_SCHEMA = "path string, rec_idx int, name string, comment string, seq string, qual string"
 #: suffixes that discovery takes
@@ -98,6 +99,54 @@ def normalised(records: DataFrame) -> DataFrame:
     return records.withColumn("seq", seq).filter("seq <> ''").withColumn("callable", fn.count_of(F.col("seq"), "ACGT"))
 
 
+# fixed values: letters of the nucleotide alphabet with its codes for several bases
+IUPAC = "ACGTURYSWKMBDHVN"
+
+
+def strict_records(files: DataFrame) -> DataFrame:
+    """(path, rec_idx, header, name, seq) of FASTA texts (path, content), as they stand but for line ends; seq is in upper case without white space.
+
+    A record starts at a line that begins with `>`; rec_idx -1 is what stands before the first, with a null header. A
+    file's text is one value, so files should be no larger than a task can hold.
+    """
+    text = F.regexp_replace(F.coalesce(F.col("content").cast("string"), F.lit("")), "\r\n?", "\n")
+    parts = files.select("path", F.posexplode(F.split(F.concat(F.lit("\n"), text), "\n>")).alias("at", "part"))
+    header = F.when(F.col("at") > 0, F.regexp_extract("part", "^([^\n]*)", 1))
+    body = F.when(F.col("at") > 0, F.regexp_replace("part", "^[^\n]*", "")).otherwise(F.col("part"))
+    rows = parts.select("path", (F.col("at") - 1).alias("rec_idx"), header.alias("header"), F.upper(F.regexp_replace(body, r"\s+", "")).alias("seq"))
+    return rows.withColumn("name", F.regexp_extract("header", "^([^ \t]*)", 1))
+
+
+def fasta_faults(files: DataFrame) -> DataFrame:
+    """(path, fault, n) of FASTA texts: `text_before_record`, `no_record`, `no_name`, `padded_header`, `not_ascii`, `repeated_name`, `no_sequence`, `bad_letter`, each with the number of records (or of names that recur)."""
+    rows = strict_records(files)
+    is_record = F.col("rec_idx") >= 0
+    faults = F.array_compact(
+        F.array(
+            F.when(~is_record & (F.col("seq") != ""), "text_before_record"),
+            F.when(is_record & (F.col("name") == ""), "no_name"),
+            F.when(is_record & F.col("header").rlike(r"^\s|\s$"), "padded_header"),
+            F.when(F.concat(F.coalesce("header", F.lit("")), "seq").rlike(r"[^\x00-\x7F]"), "not_ascii"),
+            F.when(is_record & (F.col("seq") == ""), "no_sequence"),
+            F.when(is_record & F.col("seq").rlike(f"[^{IUPAC}]"), "bad_letter"),
+        )
+    )
+    each = rows.select("path", F.explode(faults).alias("fault")).groupBy("path", "fault").agg(F.count("*").alias("n"))
+    names = rows.filter(is_record).groupBy("path", "name").count().filter("count > 1").groupBy("path").agg(F.count("*").alias("n")).select("path", F.lit("repeated_name").alias("fault"), "n")
+    bare = rows.groupBy("path").agg(F.max("rec_idx").alias("last")).filter("last < 0").select("path", F.lit("no_record").alias("fault"), F.lit(1).cast("bigint").alias("n"))
+    return each.unionByName(names).unionByName(bare)
+
+
+def fasta_digests(files: DataFrame) -> DataFrame:
+    """(path, records, bases, gc_bases, min_length, max_length, id_digest, record_digest) of FASTA texts; the digests are of the multisets of names and of records."""
+    rows = strict_records(files).filter("rec_idx >= 0")
+    n = F.length("seq").cast("bigint")
+    stats = rows.groupBy("path").agg(F.count("*").alias("records"), F.sum(n).alias("bases"), F.sum(fn.count_of(F.col("seq"), "GC")).alias("gc_bases"), F.min(n).alias("min_length"), F.max(n).alias("max_length"))
+    ids = multiset_digest(rows, ["path"], F.col("name")).select("path", F.col("digest").alias("id_digest"))
+    whole = multiset_digest(rows, ["path"], F.concat_ws("\t", "name", "seq")).select("path", F.col("digest").alias("record_digest"))
+    return stats.join(ids, "path").join(whole, "path")
+
+
 def merged_headers(records: DataFrame, group: str, entity: str, mark: str = "|") -> DataFrame:
     """(group, text): FASTA lines of records (group, entity, name, seq) with `entity<mark>name` headers, 60 letters a line."""
     text = F.concat(F.lit(">"), F.col(entity), F.lit(mark), F.col("name"), F.lit("\n"), fn.wrapped(F.col("seq")))

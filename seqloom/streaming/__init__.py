@@ -13,8 +13,9 @@ def annotate_stream(records: DataFrame, references: DataFrame, labels: DataFrame
     """Annotate streamed records (entity bigint, seq) against a written reference table (ref, bits), one folder a batch.
 
     A batch that is run again after a failure replaces its own folder, so results are complete and not doubled. An
-    entity's records must arrive in one batch, as a file of it does.
+    entity's records must arrive in one batch, as a file of it does. References are laid out in blocks once.
     """
+    references = search.reference_blocks(references)
 
     def each(batch: DataFrame, number: int) -> None:
         found = search.annotate(kmers.bit_sketch(batch, bits, k), references, labels)

@@ -7,12 +7,13 @@ import os
 import duckdb
 import pytest
 
+from seqloom.plans.audits import AUDITS, AUDITS_SQL
 from seqloom.plans.catalog import CATALOG, CATALOG_SQL, flagship
 from seqloom.plans.general import GENERAL
 from seqloom.plans.general_sql import GENERAL_SQL
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, SQL = {**GENERAL, **CATALOG}, {**GENERAL_SQL, **CATALOG_SQL}
+QUERIES, SQL = {**GENERAL, **CATALOG, **AUDITS}, {**GENERAL_SQL, **CATALOG_SQL, **AUDITS_SQL}
 
 
 @pytest.fixture(scope="module")

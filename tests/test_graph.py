@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from seqloom.operators import audit, evidence, graph, triangle
 from seqloom.plans.catalog import CATALOG
 
@@ -60,6 +62,74 @@ def test_communities_of_a_long_path_are_settled(spark):
     assert all(n <= total[c] * total[e] / sum(k.values()) + 1e-9 for (c, e), n in links.items() if c != e)  # no two communities gain by being one
 
 
+def signed_graph(rng, n, groups):
+    """Edges of planted groups with chords between them, and repulsion across."""
+    at = {f"v{i:03d}": rng.randrange(groups) for i in range(n)}
+    pairs = {tuple(sorted(rng.sample(sorted(at), 2))) for _ in range(6 * n)}
+    pos = [(a, b, round(rng.uniform(0.2, 1.0), 3)) for a, b in sorted(pairs) if at[a] == at[b] or rng.random() < 0.15]
+    neg = [(a, b, round(rng.uniform(0.05, 0.3), 3)) for a, b in sorted(pairs) if at[a] != at[b] and rng.random() < 0.4]
+    return sorted(at), pos, neg
+
+
+def objective(at, pos, neg, gamma, factor):
+    two_m = 2 * sum(w for *_, w in pos)
+    k = {}
+    for a, b, w in pos:
+        k[a], k[b] = k.get(a, 0) + w, k.get(b, 0) + w
+    total = {}
+    for n, c in at.items():
+        total[c] = total.get(c, 0) + k.get(n, 0)
+    inside = sum(2 * w for a, b, w in pos if at[a] == at[b]) - factor * sum(2 * w for a, b, w in neg if at[a] == at[b])
+    return inside - gamma / two_m * sum(t * t for t in total.values())
+
+
+def sequential(rng, nodes, pos, neg, gamma, factor):
+    """The objective of moving one node after the other, in a seeded order, until none gains."""
+    at, links, k = {n: n for n in nodes}, {n: {} for n in nodes}, dict.fromkeys(nodes, 0.0)
+    two_m = 2 * sum(w for *_, w in pos)
+    for rows, sign in ((pos, 1), (neg, -factor)):
+        for a, b, w in rows:
+            links[a][b], links[b][a] = links[a].get(b, 0) + sign * w, links[b].get(a, 0) + sign * w
+            if sign == 1:
+                k[a], k[b] = k[a] + w, k[b] + w
+    total, moved = dict(k), True
+    while moved:
+        moved = False
+        for n in rng.sample(nodes, len(nodes)):
+            total[at[n]] -= k[n]
+            gain = {at[n]: 0.0}
+            for m, w in links[n].items():
+                gain[at[m]] = gain.get(at[m], 0) + w
+            best = max(gain, key=lambda c: (gain[c] - gamma * k[n] * total[c] / two_m, c == at[n]))
+            moved |= best != at[n]
+            at[n] = best
+            total[best] += k[n]
+    return objective(at, pos, neg, gamma, factor)
+
+
+def test_communities_are_as_good_as_one_move_after_the_other_and_alike_in_tasks_and_joins(spark):
+    rng = random.Random(21)
+    nodes, pos, neg = signed_graph(rng, 70, 6)
+    frames = spark.createDataFrame([(n,) for n in nodes], "node string"), spark.createDataFrame(pos, EDGES), spark.createDataFrame(neg, EDGES)
+    points = [(1.0, 1.0), (2.0, 10.0)]
+    near = graph.communities(*frames, points)
+    assert audit.same_rows(near, graph.communities(*frames, points, local_edges=10))
+    found = parts(near)
+    for i, (gamma, factor) in enumerate(points):
+        at = {n: c for (p, c), members in found.items() if p == i for n in members}
+        assert objective(at, pos, neg, gamma, factor) >= max(sequential(random.Random(seed), nodes, pos, neg, gamma, factor) for seed in range(5)) * 0.98
+
+
+def test_many_nodes_settle():
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 3000, 20_000), rng.integers(0, 3000, 20_000)
+    a, b = a[a != b], b[a != b]
+    w = rng.uniform(-0.2, 1.0, len(a))
+    arrays = graph._Arrays(np.concatenate((a, b)), np.concatenate((b, a)), np.tile(w, 2), np.bincount(np.concatenate((a, b)), np.tile(np.maximum(w, 0), 2), 3000), 1 / (2 * w.clip(0).sum()), rng.integers(0, 2**63, 3000).astype(np.uint64))
+    comm = arrays.settled(1000)
+    assert not (arrays.wishes(comm)[1] > 1e-6).any()
+
+
 def test_purity_and_selection(spark):
     members = spark.createDataFrame([("c1", f"a{i}") for i in range(10)] + [("c2", f"b{i}") for i in range(9)], "cluster string, entity string")
     pairs = spark.createDataFrame([("a0", f"a{i}", 99.0) for i in range(1, 9)] + [("a1", "a2", 96.0), ("a0", "b0", 50.0)], "a string, b string, ani double")

@@ -81,7 +81,7 @@ def test_nearest(spark):
     refs = {int(i): rng.integers(0, 4, 6).astype(np.uint8) for i in range(0, 300, 2)}
     asked = {1: refs[40], 3: rng.integers(0, 4, 6).astype(np.uint8), 40: refs[40]}
     frame = lambda d, c: spark.createDataFrame([(i, bytearray(b.tobytes())) for i, b in d.items()], f"{c} bigint, bits binary")
-    got = {r.query: (r.ref, r.dist, r.second) for r in search.nearest(frame(asked, "entity"), frame(refs, "ref"), ref_block=16, query_block=2).collect()}
+    got = {r.query: (r.ref, r.dist, r.second) for r in search.nearest(frame(asked, "entity"), frame(refs, "ref"), block_bytes=12).collect()}
     for q, bits in asked.items():
         best, second, low = None, search.NO_SECOND, search.NO_SECOND
         for i in sorted(refs):
