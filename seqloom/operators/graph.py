@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import dropped, written
 
 # fixed values: the parameter points (resolution, repulsion factor) of the default sweep
 SWEEP = [(1.0, 1.0), (1.0, 3.0), (1.0, 10.0), (2.0, 3.0), (2.0, 10.0), (2.0, 30.0)]
@@ -40,14 +40,17 @@ def minimum_labels(links: DataFrame) -> DataFrame:
     """
     both = written(links.select("a", "b").union(links.select("b", "a")).filter("a is not null and b is not null and a <> b").distinct().toDF("src", "dst"), "adjacent")
     labels = written(both.groupBy(F.col("src").alias("v")).agg(F.least(F.col("v"), F.min("dst")).alias("label")), "labels")
+    before = labels
     while True:
         onward = labels.join(labels.toDF("label", "far"), "label").select("v", "label", "far")
         near = both.join(onward.select(F.col("v").alias("dst"), "far"), "dst").groupBy(F.col("src").alias("v")).agg(F.min("far").alias("near"))
         seen = onward.join(near, "v")
         offers = seen.select(F.explode(F.array(F.struct("v", F.least("far", "near").alias("to"), F.col("label").alias("was")), F.struct(F.col("label").alias("v"), F.least("far", "near").alias("to"), F.lit(None).cast(labels.schema["label"].dataType).alias("was")))).alias("o")).select("o.*")
         after = written(offers.groupBy("v").agg(F.min("to").alias("label"), F.min("was").alias("was")), "labels")
-        labels = after.select("v", "label")
-        if after.filter("label < was").limit(1).isEmpty():
+        dropped(before)
+        before, labels = after, after.select("v", "label")
+        if after.filter("label < was").isEmpty():
+            dropped(both)
             return labels
 
 
@@ -90,8 +93,12 @@ def _settled(level: DataFrame, degrees: DataFrame, comm: DataFrame, rounds: int)
     """The partition (point, node, c) that comm becomes when no node gains by moving; more rounds are an error."""
     score = {r["point"]: r["q"] for r in objective(level, degrees, comm).collect()}
     share, ended = dict.fromkeys(score, 2), set()
+    held = None
     for turn in range(rounds):
         wishes = written(_wishes(level, degrees, comm), "wishes")
+        if held is not None:
+            dropped(held)
+        held = wishes
         comm = wishes.select("point", "node", "c")
         wish = F.col("more") > 1e-9
         first = {r["point"]: r["m"]["node"] for r in wishes.filter(wish).groupBy("point").agg(F.min(F.struct((-F.col("more")).alias("g"), "node")).alias("m")).collect()}

@@ -296,7 +296,10 @@ def mate_pairs(spark, d):
 
 
 def evidence_kinds(spark, d):
-    return table(spark, d, "documents").dropDuplicates(["doc_id"]).filter("text is not null").groupBy(fn.evidence_kind(F.col("text")).alias("kind")).agg(F.count("*").alias("n"))
+    """Log lines by what they are evidence of: those of events, and one for each page that came without text."""
+    events = table(spark, d, "events").select(F.concat_ws(" ", "event_type", "props").alias("line"))
+    bare = table(spark, d, "documents").dropDuplicates(["doc_id"]).filter("text is null or trim(text) = ''").select(F.concat_ws(" ", F.lit("Empty text:"), "url").alias("line"))
+    return events.unionByName(bare).groupBy(fn.evidence_kind(F.col("line")).alias("kind")).agg(F.count("*").alias("n"))
 
 
 def largest_entities(spark, d):

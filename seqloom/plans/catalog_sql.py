@@ -141,6 +141,7 @@ x AS (SELECT file_id, i, regexp_extract(part, '^([^ \\t\\n]*)', 1) AS name, rege
 SELECT file_id, CAST(i AS INTEGER) AS rec_idx, name, CAST(length(s) AS INTEGER) AS n_bases, CAST(length(replace(s, 'N', '')) AS BIGINT) AS callable FROM x WHERE s <> ''""",
     "mate_pairs": f"""WITH s AS (SELECT source1 AS p FROM sag UNION SELECT source2 FROM sag), t AS (SELECT p, {_STEM.format(p='p')} AS st FROM s WHERE p IS NOT NULL), m AS (SELECT p, regexp_replace(st, '[_.-]R?[12](_001)?$', '') AS read_id, nullif(regexp_extract(st, '[_.-]R?([12])(?:_001)?$', 1), '') AS mate FROM t)
 SELECT read_id, min(p) FILTER (mate = '1') AS r1, min(p) FILTER (mate = '2') AS r2, count(*) FILTER (mate = '1') > 0 AND count(*) FILTER (mate = '2') > 0 AND count(*) = 2 AS complete FROM m WHERE mate IS NOT NULL GROUP BY 1""",
-    "evidence_kinds": "SELECT CASE WHEN contains(lower(text), 'no overlap') THEN 'no_overlap' WHEN contains(lower(text), 'empty') THEN 'empty' WHEN contains(lower(text), 'error') THEN 'error' ELSE 'none' END AS kind, count(*) AS n FROM (SELECT DISTINCT doc_id, text FROM documents) WHERE text IS NOT NULL GROUP BY 1",
+    "evidence_kinds": """WITH l AS (SELECT concat_ws(' ', event_type, props) AS x FROM events UNION ALL SELECT concat_ws(' ', 'Empty text:', url) FROM (SELECT DISTINCT doc_id, text, url FROM documents) WHERE text IS NULL OR trim(text, ' ') = '')
+SELECT CASE WHEN contains(lower(x), 'no overlap') THEN 'no_overlap' WHEN contains(lower(x), 'empty') THEN 'empty' WHEN contains(lower(x), 'error') THEN 'error' ELSE 'none' END AS kind, count(*) AS n FROM l GROUP BY 1""",
     "largest_entities": f"WITH {_C} SELECT sag_id, CAST(sum(length(s)) AS BIGINT) AS total_bp FROM c WHERE sag_id IS NOT NULL GROUP BY 1 ORDER BY total_bp DESC, sag_id LIMIT 20",
 }

@@ -74,7 +74,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more; what was not written stays."""
+    for df in tables:
+        path = getattr(df, "_written_at", None)
+        if path:
+            _drop(df.sparkSession, path)
 
 
 def spread(spark: SparkSession) -> int:

@@ -10,6 +10,7 @@ recur and be empty.
 
 from __future__ import annotations
 
+import io
 import zlib
 from collections.abc import Iterator
 
@@ -39,34 +40,28 @@ def plain_bytes(content: bytes) -> bytes:
 
 def parse_records(content: bytes) -> Iterator[tuple[str, str, str, str | None]]:
     """(name, comment, seq, qual) of a FASTA or FASTQ file's content."""
-    lines = content.decode("utf-8", "replace").replace("\r\n", "\n").replace("\r", "\n").split("\n")
-    at, end = 0, len(lines)
-    while at < end and lines[at][:1] not in (">", "@"):
-        at += 1
-    while at < end:
-        mark, head = lines[at][:1], lines[at][1:].replace("\t", " ")
-        name, _, comment = head.partition(" ")
-        at += 1
-        seq = []
-        while at < end and lines[at][:1] not in (">", "@", "+"):
-            seq.append(lines[at].strip())
-            at += 1
-        text = "".join(seq)
-        if at < end and lines[at][:1] == "+" and mark == "@":
-            at += 1
-            qual = ""
-            while at < end and len(qual) < len(text):
-                qual += lines[at].strip()
-                at += 1
+    lines = io.TextIOWrapper(io.BytesIO(content), "utf-8", errors="replace", newline=None)
+    starts = (">", "@")
+    line = next(lines, "")
+    while line and line[0] not in starts:
+        line = next(lines, "")
+    while line:
+        mark, (name, _, comment) = line[0], line[1:].rstrip("\n").replace("\t", " ").partition(" ")
+        seq, line = [], next(lines, "")
+        while line and line[0] not in (">", "@", "+"):
+            seq.append(line.strip())
+            line = next(lines, "")
+        text, qual = "".join(seq), None
+        if line[:1] == "+" and mark == "@":
+            qual, line = "", next(lines, "")
+            while line and len(qual) < len(text):
+                qual += line.strip()
+                line = next(lines, "")
             if len(qual) != len(text):
                 return
-            yield name, comment.strip(), text, qual
-            while at < end and lines[at][:1] not in (">", "@"):
-                at += 1
-        else:
-            yield name, comment.strip(), text, None
-            while at < end and lines[at][:1] not in (">", "@"):
-                at += 1
+        yield name, comment.strip(), text, qual
+        while line and line[0] not in starts:
+            line = next(lines, "")
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
