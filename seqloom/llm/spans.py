@@ -36,13 +36,15 @@ MAX_OCCURRENCES = 12
 #: places of a frequent seed that one group holds where all pairs are asked for
 PLACES = 256
 #: seeds of fuzzy passages: their letters, and the stretch of which each holds one
-FUZZY_K, FUZZY_STRETCH = 20, 28
+FUZZY_K, FUZZY_STRETCH = 20, 60
 #: a fuzzy passage has at least SPAN letters on the longer side, of which at least this share is kept in order
 LEAST_EQUAL = 0.8
 #: an end is extended while matches (1) and mismatches (-2) stay this close to the best sum so far
 DROP = 20
 #: letters of one side that an end leaves out at once, at most
 SHIFT = 4
+#: letters that an end is extended by at once, at most
+STRIDE = 128
 MAX_GAP = 500
 GAP_COST = 0.05
 #: parts in which the spans of one sequence are merged before they come together
@@ -54,6 +56,8 @@ _PLACE = np.uint64((1 << 22) - 1)
 _UPPER = np.zeros(256, np.uint8)
 for _c in range(65, 91):
     _UPPER[_c] = _UPPER[_c + 32] = _c
+_BASE = np.zeros(256, bool)
+_BASE[list(b"ACGT")] = True
 _ODD = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
 _VALUE = np.array([int.from_bytes(hashlib.blake2b(bytes([i]), digest_size=8).digest(), "big") for i in range(256)], np.uint64)
@@ -131,7 +135,17 @@ def minimizers(letters: np.ndarray, offsets: np.ndarray, k: int, span: int) -> t
     return rows, places, seeds
 
 
-def _seeded(k: int, span: int):
+def without_runs(rows: np.ndarray, places: np.ndarray, seeds: np.ndarray, within: int) -> np.ndarray:
+    """Which seeds to keep where one recurs in its row not further than `within` after itself, as in runs of one letter: the first of each run."""
+    order = np.lexsort((places, seeds, rows))
+    again = np.zeros(len(rows), bool)
+    again[1:] = (np.diff(rows[order]) == 0) & (seeds[order][1:] == seeds[order][:-1]) & (np.diff(places[order]) <= within)
+    kept = np.ones(len(rows), bool)
+    kept[order] = ~again
+    return kept
+
+
+def _seeded(k: int, span: int, all_places: bool = True):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -140,6 +154,11 @@ def _seeded(k: int, span: int):
             letters, offsets = letters_of(batch.column(1))
             size = np.diff(offsets)
             rows, places, seeds = minimizers(letters, offsets, k, span)
+            if not all_places:
+                odd = np.concatenate(([0], np.cumsum(~_BASE[letters])))
+                start = offsets[rows] + places
+                kept = without_runs(rows, places, seeds, span) & (odd[start + k] == odd[start])
+                rows, places, seeds = rows[kept], places[kept], seeds[kept]
             data = letters.tobytes()
             texts = [data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             same = np.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "big", signed=True) for t in texts], np.int64)
@@ -254,46 +273,44 @@ def aligned_runs(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int, int,
     return out
 
 
-def straight(a: np.ndarray, b: np.ndarray, x: int, y: int, step: int) -> tuple[int, int, int]:
-    """(score, letters, of which equal) of the best run without gaps from (x, y) on, or back with step -1."""
-    n = min(MAX_GAP, *((len(a) - x, len(b) - y) if step > 0 else (x, y)))
-    if n <= 0:
-        return 0, 0, 0
-    same = a[x : x + n] == b[y : y + n] if step > 0 else a[x - n : x][::-1] == b[y - n : y][::-1]
-    score = np.cumsum(np.where(same, 1, -2))
-    ended = np.flatnonzero(score < np.maximum.accumulate(np.maximum(score, 0)) - DROP)
-    score = score[: ended[0]] if len(ended) else score
-    if not len(score) or score.max() <= 0:
-        return 0, 0, 0
-    k = int(score.argmax()) + 1
-    return int(score[k - 1]), k, int(same[:k].sum())
+# letters that either side leaves out before it goes on: none, then up to SHIFT of one
+_LEFT_OUT = np.array([(0, 0), *((i, 0) for i in range(1, SHIFT + 1)), *((0, i) for i in range(1, SHIFT + 1))])
+_STEPS = np.arange(STRIDE)
 
 
-def extension(a: np.ndarray, b: np.ndarray, x: int, y: int, step: int) -> tuple[int, int, int]:
-    """(letters of a, letters of b, of which equal) by which a passage goes on from (x, y), or back with step -1.
+def extension(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+    """(letters of a, letters of b, of which equal) by which a passage goes on from the begin of a and b.
 
-    Where a run without gaps ends, up to SHIFT letters of either side may be left out if the run beyond is worth more.
+    It goes on by the best run without gaps of STRIDE letters at most, before which up to SHIFT letters of either side
+    may be left out at the price of a mismatch and a half each, as long as that is worth something.
     """
-    at, equal, shifts = (0, 0), 0, [(0, 0)]
+    a = np.concatenate((a, np.zeros(STRIDE + SHIFT, np.uint8)))  # beyond the ends nothing is equal
+    b = np.concatenate((b, np.ones(STRIDE + SHIFT, np.uint8)))
+    x = y = equal = 0
     while True:
-        tried = [(straight(a, b, x + step * (at[0] + s), y + step * (at[1] + t), step), s, t) for s, t in shifts if 0 <= x + step * (at[0] + s) <= len(a) and 0 <= y + step * (at[1] + t) <= len(b)]
-        (score, n, same), s, t = max(tried, key=lambda r: r[0][0] - 3 * (r[1] + r[2]), default=((0, 0, 0), 0, 0))
-        if score - 3 * (s + t) <= 0:
-            if len(shifts) > 1:
-                return *at, equal
-            n = same = 0
-        at, equal = (at[0] + s + n, at[1] + t + n) if n else at, equal + same
-        shifts = [(s, 0) for s in range(1, SHIFT + 1)] + [(0, t) for t in range(1, SHIFT + 1)]
+        same = a[x + _LEFT_OUT[:, :1] + _STEPS] == b[y + _LEFT_OUT[:, 1:] + _STEPS]
+        score = np.cumsum(np.where(same, 1, -2), axis=1)
+        ended = np.logical_or.accumulate(score < np.maximum.accumulate(np.maximum(score, 0), axis=1) - DROP, axis=1)
+        score[ended] = -1
+        gain = score.max(axis=1) - 3 * _LEFT_OUT.sum(axis=1)
+        best = int(gain.argmax())
+        if gain[best] <= 0:
+            return x, y, equal
+        n = int(score[best].argmax()) + 1
+        x, y, equal = x + int(_LEFT_OUT[best, 0]) + n, y + int(_LEFT_OUT[best, 1]) + n, equal + int(same[best, :n].sum())
 
 
 def common_letters(a: np.ndarray, b: np.ndarray) -> int:
-    """Letters kept in order between two short stretches (longest common subsequence)."""
-    row = np.zeros(len(b) + 1, np.int32)
-    for x in a:
-        met = np.zeros(len(b) + 1, np.int32)
-        met[1:] = np.maximum(row[1:], row[:-1] + (b == x))
-        row = np.maximum.accumulate(met)
-    return int(row[-1])
+    """Letters kept in order between two stretches (longest common subsequence), a letter of a at a time for all of b as bits of one number."""
+    places: dict[int, int] = {}
+    for i, x in enumerate(b.tobytes()):
+        places[x] = places.get(x, 0) | 1 << i
+    whole = (1 << len(b)) - 1
+    left = whole
+    for x in a.tobytes():
+        met = left & places.get(x, 0)
+        left = ((left + met) | (left - met)) & whole
+    return len(b) - left.bit_count()
 
 
 def aligned_passage(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int, int, int]]) -> tuple[int, ...]:
@@ -305,8 +322,8 @@ def aligned_passage(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int, in
     chain = placed
     equal = sum(int((a[s[0] : s[1]] == b[s[2] : s[3]]).sum()) for s in chain)
     equal += sum(common_letters(a[s[1] : t[0]], b[s[3] : t[2]]) for s, t in zip(chain, chain[1:]))
-    back_a, back_b, same_back = extension(a, b, chain[0][0], chain[0][2], -1)
-    on_a, on_b, same_on = extension(a, b, chain[-1][1], chain[-1][3], 1)
+    back_a, back_b, same_back = extension(a[: chain[0][0]][::-1], b[: chain[0][2]][::-1])
+    on_a, on_b, same_on = extension(a[chain[-1][1] :], b[chain[-1][3] :])
     return chain[0][0] - back_a, chain[-1][1] + on_a, chain[0][2] - back_b, chain[-1][3] + on_b, len(chain), equal + same_back + same_on
 
 
@@ -370,13 +387,13 @@ def _stretches(span: int, k: int):
     return run
 
 
-def seeded(contig: DataFrame, k: int = K, span: int = SPAN) -> DataFrame:
-    """(contig_id, same, n, packed, seeds, places) of every record with at least span letters.
+def seeded(contig: DataFrame, k: int = K, span: int = SPAN, all_places: bool = True) -> DataFrame:
+    """(contig_id, same, n, packed, seeds, places) of every record with at least span letters, of runs of a seed its first place, and only seeds of A, C, G and T, or all_places.
 
     `same` is a 64-bit digest of the letters and stands for all records that hold exactly them; among a billion
     different sequences two would share one with a probability of 3 in 100.
     """
-    return written(contig.select("contig_id", F.col("seq").cast("string").alias("seq")).mapInArrow(_seeded(k, span), "contig_id bigint, same bigint, n int, packed binary, seeds array<bigint>, places array<int>"), "seeded")
+    return written(contig.select("contig_id", F.col("seq").cast("string").alias("seq")).mapInArrow(_seeded(k, span, all_places), "contig_id bigint, same bigint, n int, packed binary, seeds array<bigint>, places array<int>"), "seeded")
 
 
 def shared_seeds(base: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -473,9 +490,10 @@ def fuzzy_passages(contig: DataFrame, span: int = SPAN, k: int = FUZZY_K, stretc
 
     A passage has at least span letters, of which a share of least_equal is kept in order. Every pair that shares a seed is
     aligned, however many records hold the seed. a and b name sequences by the smallest contig_id that holds them; copies
-    are not expanded into pairs.
+    are not expanded into pairs. Seeds are of A, C, G and T, and of a
+    seed's places in a short repeat only the first seeds; all letters are aligned.
     """
-    base = seeded(contig, k, stretch)
+    base = seeded(contig, k, stretch, all_places=False)
     near = max(stretch, SPAN) - k
     chains = every_pair(base, k, near, most).mapInArrow(_aligned(span, near, least_equal), ", ".join(f"{c} {'bigint' if c in ('a', 'b') else 'int'}" for c in _PASSAGE))
     names = base.groupBy("same").agg(F.min("contig_id").alias("name"))
