@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 _CODE = np.full(256, 4, np.uint8)
 for _i, _c in enumerate("ACGT"):
     _CODE[ord(_c)] = _CODE[ord(_c.lower())] = _i
@@ -138,30 +140,57 @@ def seed_table(records: DataFrame, k: int = 15, most: int = 64, sample: int = 1)
     return rows.join(frequent, ["entity", "seed"], "left_anti")
 
 
-def _added(entity: pa.Array, row: np.ndarray, h: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Votes of one batch's hashes, added by entity row and slot."""
-    slot = (h & np.uint64((1 << 63) - 1)) % np.uint64(bits)
-    key, inverse = np.unique(row * bits + slot.astype(np.int64), return_inverse=True)
-    vote = np.bincount(inverse, weights=np.where(h >> np.uint64(63), 1, -1), minlength=len(key)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([entity.take(pa.array(key // bits)), pa.array((key % bits).astype(np.int32)), pa.array(vote)], names=["entity", "slot", "vote"])
+def vote_parts(records: DataFrame, hashes, bits: int) -> DataFrame:
+    """(entity, votes) of records (entity, seq): what one batch's hashes of an entity add up to, as its slots and then their votes in four bytes each; hashes gives (row, hash) of a column of sequences."""
+    kind = records.schema["entity"].dataType
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, h = hashes(batch.column(1))
+            entity = batch.column(0).dictionary_encode()
+            own = entity.indices.to_numpy(zero_copy_only=False)[row]  # records of one entity in a batch are added
+            slot = (h & np.uint64((1 << 63) - 1)) % np.uint64(bits)
+            key, at = np.unique(own.astype(np.int64) * bits + slot.astype(np.int64), return_inverse=True)
+            vote = np.bincount(at, weights=np.where(h >> np.uint64(63), 1, -1), minlength=len(key)).astype(np.int32)
+            held, first = np.unique(key // bits, return_index=True)
+            both = np.stack(((key % bits).astype(np.int32), vote))
+            packed = [both[:, a:b].tobytes() for a, b in zip(first, np.append(first, len(key))[1:])]
+            yield pa.RecordBatch.from_arrays([entity.dictionary.take(pa.array(held)), pa.array(packed, pa.binary())], names=["entity", "votes"])
 
-def sketch_votes(records: DataFrame, bits: int, k: int) -> DataFrame:
-    """(entity, slot, vote): each word votes +1 or -1, by its hash's top bit, on the slot its other bits name.
+    return records.filter("entity is not null").select("entity", "seq").mapInArrow(run, f"entity {kind.simpleString()}, votes binary")
 
-    Votes are added within each batch before they are shuffled. Slots without votes are left out.
-    """
-    kind = records.schema["entity"].dataType
+
+def added_votes(parts: DataFrame) -> DataFrame:
+    """(entity, slot, vote) of vote_parts: sums over all parts of an entity."""
+    kind = parts.schema["entity"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, _, word = canonical_words(batch.column(1), k)
-            yield _added(batch.column(0), row, mix64(word), bits)
+            both = [np.frombuffer(v, np.int32).reshape(2, -1) for v in batch.column(1).to_pylist()]
+            row = np.repeat(np.arange(len(both)), [v.shape[1] for v in both])
+            slot, vote = np.concatenate([np.zeros((2, 0), np.int32), *both], axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(slot), pa.array(vote.astype(np.int64))], names=["entity", "slot", "vote"])
 
-    rows = records.select("entity", "seq").mapInArrow(run, f"entity {kind.simpleString()}, slot int, vote bigint")
+    rows = parts.select("entity", "votes").mapInArrow(run, f"entity {kind.simpleString()}, slot int, vote bigint")
     return rows.groupBy("entity", "slot").agg(F.sum("vote").alias("vote"))
 
 
+def _word_hashes(k: int):
+    def hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        row, _, word = canonical_words(column, k)
+        return row, mix64(word)
+
+    return hashes
+
+
+def sketch_votes(records: DataFrame, bits: int, k: int) -> DataFrame:
+    """(entity, slot, vote): each word votes +1 or -1, by its hash's top bit, on the slot its other bits name.
+
+    Votes are added within each batch before they are shuffled. Slots without votes are left out, as is a null entity.
+    """
+    return added_votes(vote_parts(records, _word_hashes(k), bits))
+
+
 # fixed values: the first two default secrets of the published wyhash
 _SECRET = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
@@ -196,63 +225,70 @@ for _a, _b in ("AT", "TA", "GC", "CG"):
     _OTHER_STRAND[ord(_a)] = ord(_b)
 
 
+def _archived_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    seqs = [s.encode()[:-1] if s is not None and len(s) > 17 else b"" for s in column.to_pylist()]
+    ends = np.cumsum([0, *map(len, seqs)])
+    data = np.frombuffer(b"".join(seqs), np.uint8)
+    rows, hashes = [], []
+    # the other strand of all records at once has them in reverse order
+    for strand, bounds, forth in ((data, ends, True), (_OTHER_STRAND[data[::-1]], ends[-1] - ends[::-1], False)):
+        h = wyhash17(strand)
+        at = np.searchsorted(bounds, np.arange(len(h)), side="right") - 1
+        whole = np.arange(len(h)) + 17 <= bounds[at + 1]
+        hashes.append(h[whole])
+        rows.append(at[whole] if forth else len(seqs) - 1 - at[whole])
+    return np.concatenate(rows), np.concatenate(hashes)
+
+
 def archived_votes(records: DataFrame, bits: int = 55_296) -> DataFrame:
     """(entity, slot, vote) as stored reference sketches were made: raw 17-byte windows of both strands, hashed by wyhash.
 
     A record of up to 17 letters has no window; the last letter of a record is in none, and on the other strand every
     letter but an upper-case base is N.
     """
-    kind = records.schema["entity"].dataType
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seqs = [s.encode()[:-1] if s is not None and len(s) > 17 else b"" for s in batch.column(1).to_pylist()]
-            ends = np.cumsum([0, *map(len, seqs)])
-            data = np.frombuffer(b"".join(seqs), np.uint8)
-            rows, hashes = [], []
-            # the other strand of all records at once has them in reverse order
-            for strand, bounds, forth in ((data, ends, True), (_OTHER_STRAND[data[::-1]], ends[-1] - ends[::-1], False)):
-                h = wyhash17(strand)
-                at = np.searchsorted(bounds, np.arange(len(h)), side="right") - 1
-                whole = np.arange(len(h)) + 17 <= bounds[at + 1]
-                hashes.append(h[whole])
-                rows.append(at[whole] if forth else len(seqs) - 1 - at[whole])
-            yield _added(batch.column(0), np.concatenate(rows), np.concatenate(hashes), bits)
-
-    rows = records.select("entity", "seq").mapInArrow(run, f"entity {kind.simpleString()}, slot int, vote bigint")
-    return rows.groupBy("entity", "slot").agg(F.sum("vote").alias("vote"))
+    return added_votes(vote_parts(records, _archived_hashes, bits))
 
 
-def packed_bits(votes: DataFrame, bits: int, words: bool = False) -> DataFrame:
-    """(entity, bits binary) of votes: bit i is 1 where slot i's votes do not sum below 0, from the top of each byte.
+def packed_bits(parts: DataFrame, bits: int, words: bool = False) -> DataFrame:
+    """(entity, bits binary) of vote_parts: bit i is 1 where slot i's votes do not sum below 0, from the top of each byte.
 
-    With words, the bytes of every 64 bits are stored lowest first.
+    With words, the bytes of every 64 bits are stored lowest first. An entity whose votes came as one part is packed
+    as it is; the parts of others are added up by slot, so that no task has all parts of an entity.
     """
-    below = votes.groupBy("entity").agg(F.collect_list(F.when(F.col("vote") < 0, F.col("slot"))).alias("below"))
-    kind = votes.schema["entity"].dataType
+    parts = written(parts, "votes")
+    several = parts.groupBy("entity").agg(F.count("*").alias("n")).filter("n > 1").select("entity")
+    one = parts.join(several, "entity", "left_anti").select("entity", "votes", F.lit(None).cast("array<int>").alias("below"))
+    added = added_votes(parts.join(several, "entity", "left_semi")).groupBy("entity")
+    more = added.agg(F.lit(None).cast("binary").alias("votes"), F.collect_list(F.when(F.col("vote") < 0, F.col("slot"))).alias("below"))  # at most bits slots
+    kind = parts.schema["entity"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = []
-            for slots in batch.column(1):
-                on = np.ones(bits, np.uint8)
-                on[np.array(slots.as_py(), np.int64)] = 0
-                data = np.packbits(on)
-                packed.append((data.reshape(-1, 8)[:, ::-1] if words else data).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["entity", "bits"])
-
-    return below.mapInArrow(run, f"entity {kind.simpleString()}, bits binary")
+            for start in range(0, batch.num_rows, 512):
+                entity, votes, below = batch.slice(start, 512).columns
+                on = np.ones((len(entity), bits), np.uint8)
+                for row, v, listed in zip(on, votes.to_pylist(), below):
+                    if v is None:
+                        row[listed.values.to_numpy()] = 0
+                    else:
+                        slots, sums = np.frombuffer(v, np.int32).reshape(2, -1)
+                        row[slots[sums < 0]] = 0
+                data = np.packbits(on, axis=1)
+                data = data.reshape(len(on), -1, 8)[:, :, ::-1].reshape(len(on), -1) if words else data
+                yield pa.RecordBatch.from_arrays([entity, pa.array([r.tobytes() for r in data], pa.binary())], names=["entity", "bits"])
+
+    return one.unionByName(more).mapInArrow(run, f"entity {kind.simpleString()}, bits binary")
 
 
 def bit_sketch(records: DataFrame, bits: int = 55_296, k: int = 17) -> DataFrame:
     """(entity, bits binary) by hashed canonical words; entities without words have no row."""
-    return packed_bits(sketch_votes(records, bits, k), bits)
+    return packed_bits(vote_parts(records, _word_hashes(k), bits), bits)
 
 
 def archived_sketch(records: DataFrame) -> DataFrame:
     """(entity, bits binary) of 6,912 bytes, equal to stored reference sketches; entities without windows have all bits set."""
-    made = packed_bits(archived_votes(records), 55_296, words=True)
-    return records.select("entity").distinct().join(made, "entity", "left").select("entity", F.coalesce("bits", F.unhex(F.repeat(F.lit("FF"), 6912))).alias("bits"))
+    made = packed_bits(vote_parts(records, _archived_hashes, 55_296), 55_296, words=True)
+    return records.select("entity").filter("entity is not null").distinct().join(made, "entity", "left").select("entity", F.coalesce("bits", F.unhex(F.repeat(F.lit("FF"), 6912))).alias("bits"))
 
 
 def strand_words(column: pa.Array, k: int, both: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -45,10 +45,13 @@ def accepted(best: Column, second: Column, ratio: float = MIN_RATIO) -> Column:
 
 def _matrix(bits: pa.ChunkedArray) -> np.ndarray:
     """Rows of bits, all of one length, as eight-byte words."""
-    rows = [np.frombuffer(b, np.uint8) for b in bits.to_pylist()]
-    out = np.zeros((len(rows), -(-len(rows[0]) // 8) * 8), np.uint8)
-    for i, row in enumerate(rows):
-        out[i, : len(row)] = row
+    column = bits.combine_chunks()
+    n, size = len(column), len(column[0].as_py())
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + n + 1]
+    if (np.diff(offsets) != size).any():
+        raise ValueError("rows of bits of different lengths")
+    out = np.zeros((n, -(-size // 8) * 8), np.uint8)
+    out[:, :size] = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(n, size)
     return out.view(np.uint64)
 
 

@@ -18,6 +18,7 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str)
         SparkSession.builder.master(f"local[{cores}]")
         .appName("seqloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.files.openCostInBytes", str(256 << 10))  # small tables are still read by all cores
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
