@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import minimum_labels
-from ..session import table, written
+from ..session import dropped, table, written
 
+#: hops of the frontier between two written tables
+HOPS = 3
 #: Rounds of the frontier. What a longer giant component has beyond them is labelled with the rest, the peeled part
 #: standing in as one vertex, so the number changes the time and not the result.
 FRONTIER_ROUNDS = 12
@@ -34,24 +36,36 @@ def _both_ways(links: DataFrame) -> DataFrame:
 
 
 def peel_giant(links: DataFrame, rounds: int = FRONTIER_ROUNDS) -> tuple[DataFrame | None, bool]:
-    """Vertices (v) reached from the vertex of highest degree, and whether they are its whole component."""
+    """Vertices (v) reached from the vertex of highest degree, and whether they are its whole component.
+
+    A few hops are one job; then the links of the vertices that it expanded are left out, so that later hops read only
+    what may lead on.
+    """
     both = _both_ways(links)
     start = both.groupBy("src").count().orderBy(F.desc("count"), "src").limit(1).select(F.col("src").alias("v")).collect()
     if not start:
         return None, True
     frontier = links.sparkSession.createDataFrame([(start[0]["v"],)], "v bigint")
-    seen, before = [frontier], frontier
-    whole = False
-    for _ in range(rounds):
-        reached = both.join(frontier.withColumnRenamed("v", "src"), "src", "left_semi").select(F.col("dst").alias("v")).distinct()
-        # neighbours of a frontier lie in it, in the one before or in the next
-        following = written(reached.join(frontier, "v", "left_anti").join(before, "v", "left_anti"), "frontier")
-        if following.isEmpty():
-            whole = True
-            break
-        frontier, before = following, frontier
-        seen.append(following)
-    return written(reduce(DataFrame.unionByName, seen), "giant"), whole
+    seen, left = [frontier], rounds
+    while left > 0:
+        hops, step = [], frontier
+        for i in range(1, min(HOPS, left) + 1):
+            step = both.join(step.withColumnRenamed("v", "src"), "src", "left_semi").select(F.col("dst").alias("v")).distinct()
+            hops.append(step.withColumn("hop", F.lit(i)))
+        nearest = reduce(DataFrame.unionByName, hops).groupBy("v").agg(F.min("hop").alias("hop"))
+        # links of expanded vertices are gone, so hops lead back only into what this job met and where it began
+        found = written(nearest.join(frontier, "v", "left_anti"), "frontier")
+        seen.append(found.select("v"))
+        last, left = len(hops), left - len(hops)
+        beyond = found.filter(F.col("hop") == last).select("v")
+        if beyond.isEmpty():
+            return written(reduce(DataFrame.unionByName, seen), "giant"), True
+        if left > 0:
+            expanded = frontier.unionByName(found.filter(F.col("hop") < last).select("v")).withColumnRenamed("v", "src")
+            former, both = both, written(both.join(expanded, "src", "left_anti").join(expanded.withColumnRenamed("src", "dst"), "dst", "left_anti"), "onward")
+            dropped(former)
+        frontier = beyond
+    return written(reduce(DataFrame.unionByName, seen), "giant"), False
 
 
 def connected_components(links: DataFrame, rounds: int = FRONTIER_ROUNDS) -> DataFrame:

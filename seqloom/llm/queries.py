@@ -13,6 +13,7 @@ LLM = {
     "p4_counts": canonical.p4_counts,
     "p7_ids": tokens.p7_ids,
     "p7_decoded": tokens.p7_decoded,
+    "p7_chunked": tokens.p7_chunked,
     "p8_packed": packing.p8_packed,
     "p8_fill": packing.p8_fill,
     "p8_checked": packing.p8_checked,

@@ -31,7 +31,7 @@ OVERLAP = 512
 #: boundaries so near a chunk's end could still change with what follows
 MARGIN = 16
 
-_held: dict[str, object] = {}
+_held: dict = {}
 
 
 def ranks(path: str) -> dict[bytes, int]:
@@ -163,7 +163,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY, folder: s
     path = os.path.join(folder, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {v: k for k, v in ranks(path).items()}
+        token = _held.get((path, "bytes")) or _held.setdefault((path, "bytes"), {v: k for k, v in ranks(path).items()})
         for batch in batches:
             content = [b"".join(map(token.__getitem__, ids)) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary())], names=["doc_id", "content"])
@@ -180,4 +180,16 @@ def p7_decoded(spark, folder: str) -> DataFrame:
     return decode_documents(p7_ids(spark, folder)).select("doc_id", F.decode("content", "UTF-8").alias("text"))
 
 
-SQL = {"p7_decoded": "SELECT doc_id, coalesce(any_value(text), '') AS text FROM documents GROUP BY doc_id"}
+def p7_chunked(spark, folder: str) -> DataFrame:
+    """One row (n_documents, n_chunked, n_equal): documents encoded as usual and in chunks of 256 letters, and how many have the same ids in both."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    whole, parts = p7_ids(spark, folder), encode_documents(docs, 256, 64).withColumnRenamed("ids", "parts")
+    sizes = docs.groupBy("doc_id").agg(F.coalesce(F.max(F.length("text")), F.lit(0)).alias("n"))
+    met = whole.join(parts, "doc_id").join(sizes, "doc_id")
+    return met.agg(F.count("*").alias("n_documents"), F.count_if(F.col("n") > 256 + 64).alias("n_chunked"), F.count_if(F.col("ids") == F.col("parts")).alias("n_equal"))
+
+
+SQL = {
+    "p7_chunked": "SELECT count(*) AS n_documents, count(*) FILTER (n > 320) AS n_chunked, count(*) AS n_equal FROM (SELECT doc_id, max(length(text)) AS n FROM documents GROUP BY 1)",
+    "p7_decoded": "SELECT doc_id, coalesce(any_value(text), '') AS text FROM documents GROUP BY doc_id",
+}

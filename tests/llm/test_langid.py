@@ -68,14 +68,49 @@ def test_delivered_labels_stand_in_for_missing_hand_checked_ones(tables, spark):
     assert langid.languages_of(model.passages(text(rng, "pl", 400)))[0][0] == "pl"
 
 
-def test_held_out_accuracy(spark):
+@pytest.fixture(scope="module")
+def held_out(spark):
+    """A model of half of the hand-checked documents, and the other half."""
     folder = "/root/testdata/sf0.1"
     docs, labels, languages = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "lang_labels", "languages"))
-    half = labels.filter("doc_id % 2 = 0")
-    model = langid.train(half, docs.select("doc_id", "text", "lang"), languages)
-    rest = labels.filter("doc_id % 2 = 1").join(docs.select("doc_id", "text"), "doc_id").distinct().collect()
-    right = sum([x for x, _ in langid.languages_of(model.passages(r.text))] == [r.lang] for r in rest)
-    assert right / len(rest) > 0.97
+    model = langid.train(labels.filter("doc_id % 2 = 0"), docs.select("doc_id", "text", "lang"), languages)
+    return model, labels.filter("doc_id % 2 = 1").join(docs.select("doc_id", "text"), "doc_id").distinct().collect()
+
+
+def test_held_out_accuracy(held_out):
+    model, rest = held_out
+    right = {r.doc_id: [x for x, _ in langid.languages_of(model.passages(r.text))] == [r.lang] for r in rest}
+    assert sum(right.values()) / len(rest) > 0.97
+    for lang in {r.lang for r in rest}:
+        own = [right[r.doc_id] for r in rest if r.lang == lang]
+        assert sum(own) >= 0.9 * len(own) - 1, lang
+
+
+def test_held_out_passages(held_out):
+    """Two texts after each other: nearly all letters lie in a passage of their language."""
+    model, rest = held_out
+    rng, texts = random.Random(1), [r for r in rest if r.text and len(r.text) >= 400]
+    right = total = whole = 0
+    for _ in range(60):
+        a = rng.choice(texts)
+        b = rng.choice([r for r in texts if r.lang != a.lang])
+        cut = len(langid.repaired(a.text))
+        found = model.passages(a.text + "\n" + b.text)
+        for start, end, lang, confidence, _ in found:
+            assert 0 <= confidence < 1
+            for want, n in ((a.lang, min(end, cut) - start), (b.lang, end - max(start, cut))):
+                total += max(0, n)
+                right += max(0, n) * (lang == want)
+        whole += {x for x, _ in langid.languages_of(found)} == {a.lang, b.lang}
+    assert right > 0.97 * total and whole >= 57
+
+
+def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 3200)
+    docs = spark.createDataFrame([(i, "ä" * (90 if i else 5000)) for i in range(50)], "doc_id bigint, text string")
+    labels = docs.select("doc_id").selectExpr("doc_id", "if(doc_id % 2 = 0, 'de', 'sv') as lang")
+    sample = langid._sample(labels, docs)
+    assert all(0 < sum(len(t.encode()) for t in texts) <= 3200 for texts in sample.values()) and max(len(t) for texts in sample.values() for t in texts) <= 100
 
 
 def test_empty(tables, spark):
