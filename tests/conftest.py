@@ -10,4 +10,4 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from seqloom.session import get_spark
 
-    return get_spark(4, 4)
+    return get_spark(8, 4, **{"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})

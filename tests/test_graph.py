@@ -109,7 +109,7 @@ def sequential(rng, nodes, pos, neg, gamma, factor):
 
 def test_communities_are_as_good_as_one_move_after_the_other_and_alike_in_tasks_and_joins(spark):
     rng = random.Random(21)
-    nodes, pos, neg = signed_graph(rng, 70, 6)
+    nodes, pos, neg = signed_graph(rng, 30, 4)
     frames = spark.createDataFrame([(n,) for n in nodes], "node string"), spark.createDataFrame(pos, EDGES), spark.createDataFrame(neg, EDGES)
     points = [(1.0, 1.0), (2.0, 10.0)]
     near = graph.communities(*frames, points)
