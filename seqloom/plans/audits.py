@@ -11,12 +11,12 @@ from ..functions import seqfuncs as fn
 from ..operators import align, audit, contracts, evidence, kmers, search
 from ..session import new_path, table, written
 from ..sources import fasta, matrix
-from .catalog import _by_contig, _by_sag, _pairs, _sequences, contigs, entity_stats, latest_species, pending_entities
+from .catalog import _by_contig, _by_sag, _pairs, _sequences, contigs, entity_stats, graph_components, pending_entities
 
 
 def archived_votes(spark, d):
     """Votes of sketches as stored reference matrices hold them, by contig: slots, slots below zero, and votes weighed by slot."""
-    votes = kmers.archived_votes(_by_contig(spark, d).withColumn("seq", F.col("seq")))
+    votes = kmers.archived_votes(_by_contig(spark, d))
     return votes.groupBy(F.col("entity").alias("contig_id")).agg(F.count("*").alias("n_slots"), F.count_if(F.col("vote") < 0).alias("n_below"), F.sum((F.col("slot") + 1) * F.col("vote")).alias("weighed"))
 
 
@@ -104,8 +104,6 @@ def marker_pairs(spark, d):
     hits = table(spark, d, "hit").filter("q is not null and t is not null").distinct()
     owner = lambda c: F.regexp_extract(c, r"^(.*)(?:\||__)", 1)
     marker = lambda c: F.regexp_extract(c, r"^.*(?:\||__)(.*)$", 1)
-    from .catalog import graph_components
-
     groups = graph_components(spark, d)
     large = groups.groupBy("component").count().filter("count >= 10").select("component")
     targets = written(groups.join(large, "component", "left_semi").select(F.col("node").alias("sag")), "targets")
