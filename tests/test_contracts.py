@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +154,27 @@ def test_archived_votes_of_many_records_equal_those_of_one(spark):
     whole = rows(kmers.archived_votes(df, 101))
     apart = [r for i in (0, 7, 39) for r in map(tuple, kmers.archived_votes(df.filter(F.col("entity") == i), 101).collect())]
     assert sorted(apart, key=str) == [r for r in whole if r[0] in (0, 7, 39)]
+
+
+@pytest.mark.parametrize("k", [15, 19])
+def test_voted_pairs_in_blocks_are_those_of_pairs_one_by_one(spark, k):
+    """Against the votes of every pair, in small and large blocks and pieces; sequences move, so the plan broadcasts and shuffles no words."""
+    rng = random.Random(k)
+    dna = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    pool = [dna(150) for _ in range(4)] + ["A" * 90, "ACG" * 40]
+    back = lambda s: s.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    own = {i: [dna(rng.randint(0, 90)) + rng.choice([str, back])(rng.choice(pool))[rng.randint(0, 60) :] + rng.choice(["", "N", dna(30)]) for _ in range(rng.randint(1, 3))] for i in range(24)}
+    df = spark.createDataFrame([(i, p, s) for i, parts in own.items() for p, s in enumerate(parts)] + [(None, 0, pool[0])], "entity bigint, part int, seq string")
+    asked = df.filter("entity % 3 = 0")
+    words = {e: (align.sorted_words(g, k, False, 20), align.sorted_words(g, k, True)) for e, g in own.items()}
+    truth = {(a, b) for a in own for b in own if a != b and b % 3 == 0 and align.voted_spans(words[a][0], words[b][1], 3)}
+    for block in (300, 4 << 20):
+        found = align.voted_pairs(asked, df, k, 20, 3, block)
+        assert sorted(map(tuple, found.collect())) == sorted(truth) and len(truth) > 20
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "word" not in plan and "Broadcast" not in plan
+    queries = [b for b in own if b % 3 == 0]
+    same = np.array([queries.index(a) if a in queries else -1 for a in own])
+    for at_once in (40, 300):
+        pairs = align._Words([own[b] for b in queries], k, at_once).pairs(list(own.values()), same, 20, 3)
+        assert sorted((a, queries[b]) for a, b in pairs.tolist()) == sorted(truth)

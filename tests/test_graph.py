@@ -164,6 +164,15 @@ def test_all_candidates_equal_all_pairs(spark):
         assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_shared_of_given_pairs_equals_all_candidates(spark):
+    rng = random.Random(4)
+    rows = spark.createDataFrame([(i, h) for i in range(40) for h in {1, *rng.sample(range(30), 6)}], "entity bigint, hash bigint")
+    every = {tuple(r) for r in triangle.all_candidates(rows, 1).collect()}
+    asked = [(a, b) for a in range(40) for b in range(a + 1, 40) if (a + b) % 3 == 0] + [(0, 3), (5, 77)]
+    got = triangle.shared_of(spark.createDataFrame(asked, "a bigint, b bigint"), rows).collect()
+    assert len(got) == len(set(asked)) - 1 and {tuple(r) for r in got} == {x for x in every if x[:2] in set(asked)}
+
+
 def test_estimates_are_of_all_similar_pairs(spark, tmp_path):
     rng = random.Random(9)
     base = "".join(rng.choice("ACGT") for _ in range(400))
