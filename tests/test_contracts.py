@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,3 +179,31 @@ def test_voted_pairs_in_blocks_are_those_of_pairs_one_by_one(spark, k):
     for at_once in (40, 300):
         pairs = align._Words([own[b] for b in queries], k, at_once).pairs(list(own.values()), same, 20, 3)
         assert sorted((a, queries[b]) for a, b in pairs.tolist()) == sorted(truth)
+
+
+def test_archived_votes_need_little_memory(spark):
+    """A long record in pieces, runs of records that end anywhere, and entities with one record and with several, against all at once."""
+    rng = random.Random(6)
+    long = "".join(rng.choice("ACGTN") for _ in range(3000))
+    column = pa.array([long, None, "ACGT" * 5, "", long[:40]], pa.string())
+    slots = lambda size: sorted((int(r), int(x)) for row, h in kmers._archived_hashes(column, size) for r, x in zip(row, h))
+    assert slots(1 << 19) == slots(100) == slots(17) and len(slots(100)) == 2 * (2983 + 3 + 23)
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 7, 8, 9, 8]), column], names=["entity", "seq"])
+
+    def added(size):
+        out = {}
+        for entity, row, slot, vote in kmers._batch_votes(batch, lambda c: kmers._archived_hashes(c, 100), 101, size):
+            for r, s, v in zip(row, slot, vote):
+                key = entity[int(r)].as_py(), int(s)
+                out[key] = out.get(key, 0) + int(v)
+        return out
+
+    assert added(1) == added(50) == added(1 << 19)
+    at_once = []
+    hashes = lambda c: (at_once.append(len(h)) or (row, h) for row, h in kmers._archived_hashes(c))
+    many = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array([long] * 4000)], names=["entity", "seq"])
+    assert sum(len(row) for _, row, _, _ in kmers._batch_votes(many, hashes, 101, kmers.PIECE)) == 4000 * 101 and max(at_once) <= kmers.PIECE
+    df = spark.createDataFrame([(i % 9 if i < 15 else i, long[10 * i : 10 * i + 90]) for i in range(40)] + [(None, long)], "entity bigint, seq string")
+    votes = kmers.archived_votes(df, 101)
+    want = votes.groupBy("entity").agg(F.count("*"), F.count_if(F.col("vote") < 0), F.sum((F.col("slot") + 1) * F.col("vote")))
+    assert rows(kmers.archived_sums(df, 101)) == rows(want) and votes.select("entity", "slot").distinct().count() == votes.count() and want.count() == 34
