@@ -146,3 +146,22 @@ def test_pair_estimates(spark):
     for key in ((1, 2), (1, 3)):
         assert got[key].ani >= 97 and got[key].af_query >= 90 and got[key].af_ref >= 20
     assert got[(2, 3)].ani == 100 and got[(1, 4)].aligned == 0 and got[(1, 5)].af_query == 0
+
+
+@pytest.mark.parametrize("ones", [0.004, 0.5, 0.996])
+def test_nearest_in_a_block_by_odd_bits_equals_comparing_words(monkeypatch, ones):
+    rng = np.random.default_rng(5)
+    bits = np.packbits(rng.random((400, 1000)) < ones, axis=1)
+    bits[rng.integers(0, 400, 60)] = bits[rng.integers(0, 400, 60)]  # ties
+    bits[7:9] = 0 if ones < 0.5 else 255
+    rows = [r.tobytes() for r in bits]
+    refs = pa.table({"ref": pa.array(rng.permutation(400), pa.int64()), "bits": pa.array(rows, pa.binary()), "block": pa.array([3] * 400, pa.int64())})
+    queries = pa.table({"entity": pa.array([*range(0, 400, 9), 900], pa.int64()), "bits": pa.array([rows[i] for i in range(45)] + [rows[44]], pa.binary())})
+    made, plain = [], search._sparse
+    monkeypatch.setattr(search, "_sparse", lambda *a: made.append(plain(*a)) or made[-1])
+    got = search._block_best(None, queries, refs)
+    assert (made[0] is None) == (ones == 0.5)
+    monkeypatch.setattr(search, "_POSTINGS", 300)
+    assert got.equals(search._block_best(None, queries, refs))
+    monkeypatch.setattr(search, "_sparse", lambda *a: None)
+    assert got.equals(search._block_best(None, queries, refs)) and got.num_rows == 46
